@@ -100,12 +100,20 @@ def add_date_features(df: DataFrame, date_col: str) -> DataFrame:
                            "day_cos": date_cos(date_col)})
 
 
-def softmax(c: str | Column) -> Column:
-    """Row-wise softmax of an array of logits, shifted by the row maximum."""
-    a = _c(c).cast("array<double>")
-    ex = F.transform(a, lambda x: F.exp(x - F.array_max(a)))
-    total = F.aggregate(ex, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(ex, lambda x: x / total)
+def add_softmax(df: DataFrame, logits: str | Column, out: str) -> DataFrame:
+    """Row-wise softmax of an array of logits into ``out``, shifted by the row max.
+
+    Staged columns so the row max and the normaliser are computed once per
+    row; nesting them inside the element lambda would recompute them for
+    every element.
+    """
+    a, m, ex, s = (f"__{out}_{k}" for k in ("a", "m", "e", "s"))
+    return (df.withColumn(a, _c(logits).cast("array<double>"))
+            .withColumn(m, F.array_max(a))
+            .withColumn(ex, F.transform(a, lambda x: F.exp(x - F.col(m))))
+            .withColumn(s, F.aggregate(ex, F.lit(0.0), lambda acc, x: acc + x))
+            .withColumn(out, F.transform(ex, lambda x: x / F.col(s)))
+            .drop(a, m, ex, s))
 
 
 def argmax(c: str | Column) -> Column:

@@ -211,8 +211,8 @@ SELECT vec_id, CAST(i AS BIGINT) - 1 AS class_idx, round(p[i], 6) AS prob
 FROM (SELECT vec_id, p, generate_subscripts(p, 1) AS i FROM pr)""")
 def q_softmax_scores(spark, sf):
     e = table(spark, sf, "embeddings")
-    p = e.select("vec_id", FT.softmax(F.transform("embedding", lambda x: x * 10.0)).alias("p"))
-    return p.select("vec_id", F.posexplode("p").alias("class_idx", "prob")) \
+    p = FT.add_softmax(e.select("vec_id", F.transform("embedding", lambda x: x * 10.0).alias("z")), "z", "p")
+    return p.select("vec_id", F.posexplode_outer("p").alias("class_idx", "prob")) \
         .select("vec_id", F.col("class_idx").cast("bigint").alias("class_idx"), r6("prob").alias("prob"))
 
 
@@ -231,8 +231,8 @@ SELECT vec_id, """ + ", ".join(f"round(p[{i + 1}], 6) AS prob_{i}" for i in rang
 def q_explode_probabilities(spark, sf):
     e = table(spark, sf, "embeddings")
     labels = [r["label"] for r in D.label_table(e).orderBy("label_idx").collect()]  # class list only
-    p = e.select("vec_id", FT.softmax(F.transform(F.slice("embedding", 1, len(labels)),
-                                                  lambda x: x * 10.0)).alias("p"))
+    z = e.select("vec_id", F.transform(F.slice("embedding", 1, len(labels)), lambda x: x * 10.0).alias("z"))
+    p = FT.add_softmax(z, "z", "p")
     return p.select("vec_id", *FT.explode_probabilities("p", labels)) \
         .select("vec_id", *[r6(f"prob_{lab}").alias(f"prob_{lab}") for lab in labels])
 

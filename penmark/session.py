@@ -33,6 +33,7 @@ def build_session(master: str | None = None, app: str = "penmark",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
