@@ -1 +1,165 @@
-"""Registered queries."""
+"""Registered modelling and job queries.
+
+Fitted models have no SQL equivalent, so most of these are rows-only checks;
+where an invariant or a closed form exists (probabilities sum to one, a
+linear scorer, the profile tables) the SQL states it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from penmark.functions.features import ENGINEERED_FEATURES, add_text_column
+from penmark.operators import models as ML
+from penmark.operators import dataset as D
+from penmark.operators.featurize import feature_extraction
+from penmark.plans import jobs as J
+from penmark.plans.catalog import r6, register
+from penmark.plans.q_profile import _BOX_SQL
+from penmark.session import cut_lineage, scratch_path
+from penmark.sources.artifacts import load_artifacts, save_artifacts
+from penmark.sources.fixtures import recipes_d, table
+
+# Small, fixed stage-2 settings for the registered checks (the job defaults
+# follow the reference: one hidden layer of 128, up to 1000 iterations).
+QUICK = {"hidden": (32,), "max_iter": 100}
+QUICK_GRID = [dict(hidden=(16,), solver="l-bfgs", step=0.03, max_iter=50),
+              dict(hidden=(32,), solver="l-bfgs", step=0.03, max_iter=50),
+              dict(hidden=(32, 16), solver="gd", step=0.3, max_iter=50)]
+
+
+def _docs(spark, sf):
+    return add_text_column(recipes_d(spark, sf))
+
+
+def _stage1(spark, sf):
+    d = D.stratified_split(_docs(spark, sf))
+    return d, ML.text_classifier_fit(d.where("split = 'train'"))
+
+
+@register("text_classifier_fit")
+def q_text_classifier_fit(spark, sf):
+    d, m = _stage1(spark, sf)
+    s = ML.text_classifier_score(m, d.where("split = 'val'"))
+    labels = ML.model_labels(m)
+    pc = [F.col(c) for c in ML.prob_columns(m)]
+    pred = F.element_at(F.array(*[F.lit(x) for x in labels]),
+                        F.array_position(F.array(*pc), F.array_max(F.array(*pc))).cast("int"))
+    return s.withColumn("prediction", pred).select("recipe_id", "label", "prediction")
+
+
+@register("text_classifier_score", """
+SELECT doc_id AS recipe_id, 1.0 AS prob_sum FROM documents""")
+def q_text_classifier_score(spark, sf):
+    d, m = _stage1(spark, sf)
+    s = ML.text_classifier_score(m, d, keep=["recipe_id"])
+    total = sum((F.col(c) for c in ML.prob_columns(m)), F.lit(0.0))
+    return s.select("recipe_id", r6(total).alias("prob_sum"))
+
+
+@register("stack_features")
+def q_stack_features(spark, sf):
+    d, m = _stage1(spark, sf)
+    f, _ = feature_extraction(ML.text_classifier_score(m, d), "split")
+    cols = ENGINEERED_FEATURES + ML.prob_columns(m)
+    from pyspark.ml.functions import vector_to_array
+    a = ML.assemble(f, cols)
+    return a.select("recipe_id", "split", F.size(vector_to_array("features")).alias("n_features"))
+
+
+def _stage2_input(spark, sf):
+    d, m = _stage1(spark, sf)
+    f, _ = feature_extraction(ML.text_classifier_score(m, d), "split")
+    labels = ML.model_labels(m)
+    cols = ENGINEERED_FEATURES + ML.prob_columns(m)
+    f = J.with_label_index(f, labels).select("recipe_id", "label", "label_idx", "split", *cols)
+    return cut_lineage(f), cols, labels
+
+
+@register("mlp_fit")
+def q_mlp_fit(spark, sf):
+    f, cols, labels = _stage2_input(spark, sf)
+    model = ML.mlp_fit(f.where("split = 'train'"), cols, len(labels), "recipe_id", **QUICK)
+    return ML.mlp_predict(model, f.where("split = 'val'"), cols, labels).select("recipe_id", "label", "prediction")
+
+
+@register("mlp_predict")
+def q_mlp_predict(spark, sf):
+    f, cols, labels = _stage2_input(spark, sf)
+    model = ML.mlp_fit(f.where("split = 'train'"), cols, len(labels), "recipe_id", **QUICK)
+    return ML.mlp_predict(model, f.where("split = 'test'"), cols, labels).select("recipe_id", "prediction")
+
+
+@register("train_val_score")
+def q_train_val_score(spark, sf):
+    f, cols, labels = _stage2_input(spark, sf)
+    _, acc = ML.train_val_score(f, cols, labels, "recipe_id", **QUICK)
+    return spark.range(1).select(F.lit(acc).cast("double").alias("val_accuracy"))
+
+
+@register("grid_search")
+def q_grid_search(spark, sf):
+    f, cols, labels = _stage2_input(spark, sf)
+    _, board = ML.grid_search(f, cols, labels, "recipe_id", grid=QUICK_GRID, parallel=3)
+    return board
+
+
+@register("out_of_fold_scores")
+def q_out_of_fold_scores(spark, sf):
+    d = _docs(spark, sf)
+    s = ML.out_of_fold_scores(d, "text", "label", "recipe_id", folds=3)
+    return s.select("recipe_id", "label", *[c for c in s.columns if c.startswith(ML.PROB_PREFIX)])
+
+
+@register("train_job")
+def q_train_job(spark, sf):
+    res = J.train_job(recipes_d(spark, sf), mlp_params=QUICK)
+    return res.report
+
+
+@register("predict_job")
+def q_predict_job(spark, sf):
+    d = recipes_d(spark, sf)
+    path = scratch_path(spark, "artifacts")
+    J.train_job(d, artifacts_path=path, mlp_params=QUICK)
+    return J.predict_job(d.drop("label"), path)
+
+
+@register("save_artifacts")
+def q_save_artifacts(spark, sf):
+    """Predictions from the in-memory and the reloaded artifacts, side by side."""
+    d = recipes_d(spark, sf)
+    res = J.train_job(d, mlp_params=QUICK)
+    path = save_artifacts(spark, res.artifacts, scratch_path(spark, "artifacts"))
+    before = J.predict_job(d, res.artifacts).withColumnRenamed("prediction", "before")
+    after = J.predict_job(d, path).withColumnRenamed("prediction", "after")
+    return before.join(after, "recipe_id").select("recipe_id", "before", "after",
+                                                  (F.col("before") == F.col("after")).alias("same"))
+
+
+@register("load_artifacts")
+def q_load_artifacts(spark, sf):
+    d = recipes_d(spark, sf)
+    res = J.train_job(d, mlp_params=QUICK)
+    path = save_artifacts(spark, res.artifacts, scratch_path(spark, "artifacts"))
+    art = load_artifacts(spark, path)
+    return spark.createDataFrame([(c, i) for i, c in enumerate(art.feature_cols)], "feature string, position int")
+
+
+@register("batch_inference", """
+SELECT vec_id, round(list_sum(list_transform(generate_series(1, len(embedding)),
+       lambda i: CAST(embedding[i] AS DOUBLE) / i)), 6) AS score FROM embeddings""")
+def q_batch_inference(spark, sf):
+    e = table(spark, sf, "embeddings")
+    dim = len(e.select("embedding").first()[0])   # vector width from one row
+    w = [1.0 / (i + 1) for i in range(dim)]
+    s = ML.batch_inference(e, "embedding", ML.linear_predict_fn(w), dim)
+    return s.select("vec_id", r6("score").alias("score"))
+
+
+@register("profile_job", _BOX_SQL)
+def q_profile_job(spark, sf):
+    out = J.profile_job(recipes_d(spark, sf))["box"]
+    return out.select("feature", "label", "n", *[r6(c).alias(c) for c in
+                      ["q1", "median", "q3", "min_value", "max_value", "whisker_lo", "whisker_hi"]],
+                      "n_outliers")
