@@ -163,3 +163,18 @@ def q_profile_job(spark, sf):
     return out.select("feature", "label", "n", *[r6(c).alias(c) for c in
                       ["q1", "median", "q3", "min_value", "max_value", "whisker_lo", "whisker_hi"]],
                       "n_outliers")
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    """Train on the documents, then score them again through a streaming query
+    (Parquet source written from the table, availableNow trigger)."""
+    from penmark.streaming.score import start_stream_score
+    d = recipes_d(spark, sf)
+    res = J.train_job(d, mlp_params=QUICK)
+    src = scratch_path(spark, "stream-in")
+    d.drop("label").write.mode("overwrite").parquet(src)
+    out = scratch_path(spark, "stream-out")
+    q = start_stream_score(spark, src, d.drop("label").schema, res.artifacts, out)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("recipe_id", "prediction")
