@@ -73,7 +73,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage by writing a Parquet table into the shared checkpoint
+    folder and reading it back.
+
+    Unlike an eager ``Dataset.checkpoint`` (one job to count, a second that
+    recomputes the plan to write it), the plan runs once; the result is
+    splittable and column-pruned, and it survives lost executors because it
+    lives on the shared file system.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
