@@ -6,9 +6,12 @@ a recomputed partition (lost executor, uncached re-read) yields the same
 rows, and the order is identical in any SQL engine with md5.
 
 Skew: a class may hold a third of all rows, so nothing here windows over a
-whole class.  Rows are ranked inside (class, md5-prefix bucket) partitions
-and offset by the running count of the earlier buckets of their class,
-which is computed on a table of at most classes × 16^digits rows.
+whole class.  Ranks are computed inside (class, md5-prefix bucket)
+partitions and offset by the running count of the earlier buckets of their
+class, which is computed on a table of at most classes × 16^digits rows.
+The split needs no rank per row at all: it broadcasts per-class thresholds
+found by ranking only the few buckets that hold a cut, so the wide rows are
+labelled where they are read and never shuffled.
 """
 
 from __future__ import annotations
@@ -17,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from penmark.operators.joins import checked_broadcast
+from penmark.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast
+from penmark.session import cut_lineage
 
 HASH_COL = "_h"
 
@@ -92,6 +96,69 @@ def split_sizes_by_class(class_counts: DataFrame, label: str = "label",
                                         for c in ["n_test", "n_val", "n_train"]])
 
 
+def _not_after(h: Column, i: Column, th: Column, ti: Column) -> Column:
+    """(h, i) ≤ (th, ti) in seeded order; NULL (false in ``when``) without a threshold."""
+    return (h < th) | ((h == th) & (i <= ti))
+
+
+def split_thresholds(df: DataFrame, label: str = "label", id_col: str = "recipe_id",
+                     test_size: float = 0.2, val_size: float = 0.2, seed: int = 42,
+                     bucket_digits: int = 4) -> DataFrame:
+    """Per class, the last test row and the last validation row in seeded order.
+
+    Columns ``(_lab, _th1, _ti1, _th2, _ti2)``: a row is test when its
+    ``(md5, id)`` is not after ``(_th1, _ti1)``, else validation when not
+    after ``(_th2, _ti2)``; NULL thresholds mean an empty part.  Computed
+    from two narrow scans of ``(label, id)`` and never a whole-class window:
+
+    1. rows per (class, md5-prefix bucket) — map-side partial counts;
+    2. on that table, each class's split sizes and the bucket holding each
+       cut position (running counts over the buckets);
+    3. only the rows of those ≤ 2 buckets per class are ranked.
+
+    The table has one row per class, is written to the shared folder and
+    comes back with a broadcast hint when the class count is within bounds.
+    """
+    keyed = df.select(F.col(label).alias("_lab"), F.col(id_col).alias("_id"),
+                      hash_key(id_col, seed).alias(HASH_COL))
+    keyed = keyed.withColumn("_b", F.substring(HASH_COL, 1, bucket_digits))
+    buckets = cut_lineage(keyed.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt")),
+                          "split-buckets")
+    classes = buckets.groupBy("_lab").agg(F.sum("_cnt").cast("bigint").alias("class_n"))
+    # every table below has at most two rows per class: one count proves the
+    # bound for both broadcasts (else the planner and AQE choose)
+    half = MAX_BROADCAST_ROWS // 2
+    small = buckets.count() <= half or classes.limit(half + 1).count() <= half
+    bc = F.broadcast if small else (lambda x: x)
+    sizes = split_sizes_by_class(classes, "_lab", test_size, val_size)
+    # 0-based cut positions: last test row, last validation row (when non-empty)
+    cuts = (sizes.select("_lab", F.explode(F.array(
+        F.struct(F.lit(1).alias("_which"), (F.col("n_test") - 1).alias("_pos"), F.col("n_test").alias("_len")),
+        F.struct(F.lit(2).alias("_which"), (F.col("n_test") + F.col("n_val") - 1).alias("_pos"),
+                 F.col("n_val").alias("_len")))).alias("_c"))
+        .select("_lab", "_c.*").where(F.col("_len") > 0).drop("_len"))
+    run = Window.partitionBy("_lab").orderBy("_b")
+    offs = (buckets.withColumn("_end", F.sum("_cnt").over(run.rowsBetween(Window.unboundedPreceding, 0)))
+            .select(F.col("_lab").alias("_al"), F.col("_b").alias("_ab"),
+                    (F.col("_end") - F.col("_cnt")).alias("_off"), "_end"))
+    at = (cuts.join(offs, F.col("_lab").eqNullSafe(F.col("_al"))
+                    & (F.col("_pos") >= F.col("_off")) & (F.col("_pos") < F.col("_end")))
+          .select("_al", "_ab", "_which", (F.col("_pos") - F.col("_off")).alias("_local")))
+    hit = bc(at.select("_al", "_ab").distinct())
+    inside = keyed.join(hit, F.col("_lab").eqNullSafe(F.col("_al")) & (F.col("_b") == F.col("_ab")),
+                        "left_semi")
+    w = Window.partitionBy("_lab", "_b").orderBy(HASH_COL, "_id")
+    ranked = inside.withColumn("_r", F.row_number().over(w) - 1)
+    rows = (ranked.join(bc(at), F.col("_lab").eqNullSafe(F.col("_al")) & (F.col("_b") == F.col("_ab"))
+                        & (F.col("_r") == F.col("_local")))
+            .groupBy("_lab")
+            .agg(*[F.max(F.when(F.col("_which") == i, F.col(c))).alias(f"{n}{i}")
+                   for i in (1, 2) for c, n in ((HASH_COL, "_th"), ("_id", "_ti"))]))
+    thr = sizes.select("_lab").join(rows.withColumnRenamed("_lab", "_rl"),
+                                    F.col("_lab").eqNullSafe(F.col("_rl")), "left").drop("_rl")
+    return bc(cut_lineage(thr, "split-thresholds"))
+
+
 def stratified_split(df: DataFrame, label: str = "label", id_col: str = "recipe_id",
                      test_size: float = 0.2, val_size: float = 0.2, seed: int = 42,
                      out: str = "split") -> DataFrame:
@@ -99,16 +166,16 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "recipe_
 
     The first ``n_test`` rows of each class (in seeded order) are test, the
     next ``n_val`` validation, the rest train; ``val_size=0`` gives a two-way
-    split.  Only the class table is aggregated and joined back.
+    split.  Equal to ranking every class, but the wide rows never move: the
+    per-class thresholds (:func:`split_thresholds`) are broadcast and each
+    row is labelled where it is read.
     """
-    ranked, counts = _ranked(df, label, id_col, seed, 3, "class_rank")
-    sizes = split_sizes_by_class(counts, label, test_size, val_size) \
-        .select(F.col(label).alias("_lab"), "n_test", "n_val")
-    j = ranked.join(sizes, F.col(label).eqNullSafe(F.col("_lab")))
-    r = F.col("class_rank")
-    return (j.withColumn(out, F.when(r < F.col("n_test"), "test")
-                         .when(r < F.col("n_test") + F.col("n_val"), "val").otherwise("train"))
-            .drop("_lab", "n_test", "n_val", "class_rank", "class_n"))
+    thr = split_thresholds(df, label, id_col, test_size, val_size, seed)
+    h, i = F.col(HASH_COL), F.col(id_col)
+    j = df.withColumn(HASH_COL, hash_key(id_col, seed)).join(thr, F.col(label).eqNullSafe(F.col("_lab")))
+    return (j.withColumn(out, F.when(_not_after(h, i, F.col("_th1"), F.col("_ti1")), "test")
+                         .when(_not_after(h, i, F.col("_th2"), F.col("_ti2")), "val").otherwise("train"))
+            .drop("_lab", "_th1", "_ti1", "_th2", "_ti2", HASH_COL))
 
 
 def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:
