@@ -73,3 +73,28 @@ def test_train_save_load_predict_roundtrip(spark, tmp_dir):
     after = J.predict_job(d.drop("label"), tmp_dir + "/art").withColumnRenamed("prediction", "b")
     j = before.join(after, "recipe_id")
     assert j.count() == d.count() and j.where("a <> b").count() == 0
+
+
+def test_smote_hot_base_rows_chunked(spark):
+    """A small class with a large deficit: every base row makes many synthetic
+    rows, cut into several chunks.  Rows must follow the deterministic rule
+    (base = rank s mod n_c, neighbour and gap from md5) whatever the chunking."""
+    import hashlib
+    d = recipes_d(spark, SF_SMALL).select(
+        "recipe_id", "label",
+        F.array(F.length("description").cast("double"), F.size("steps").cast("double"),
+                (F.col("recipe_id") % 7).cast("double")).alias("v"))
+    a = smote_oversample(d, "recipe_id", "label", "v", k=3, chunk_rows=4).cache()
+    b = smote_oversample(d, "recipe_id", "label", "v", k=3).cache()
+    sizes = {r["label"]: r["count"] for r in a.groupBy("label").count().collect()}
+    assert len(set(sizes.values())) == 1
+    cols = ["row_key", "label", "vec", "base_id", "nb_id", "gap"]
+    assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0 and a.count() == b.count()
+    # base row of synthetic row s is the row of seeded class rank s mod n_c
+    rank = D.stratified_rank(d, "label", "recipe_id").select("recipe_id", "class_rank", "class_n")
+    syn = a.where("is_synthetic").withColumn("s", F.element_at(F.split("row_key", "-"), -1).cast("long"))
+    j = syn.join(rank, syn.base_id == rank.recipe_id)
+    assert j.where(F.col("s") % F.col("class_n") != F.col("class_rank")).count() == 0
+    r = syn.where("gap > 0").first()
+    h = hashlib.md5(f"{r['label']}-{r['s']}-42".encode()).hexdigest()
+    assert abs(r["gap"] - int(h[8:16], 16) / 2 ** 32) < 1e-12
