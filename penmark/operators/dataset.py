@@ -103,7 +103,7 @@ def _not_after(h: Column, i: Column, th: Column, ti: Column) -> Column:
 
 def split_thresholds(df: DataFrame, label: str = "label", id_col: str = "recipe_id",
                      test_size: float = 0.2, val_size: float = 0.2, seed: int = 42,
-                     bucket_digits: int = 4) -> DataFrame:
+                     bucket_digits: int = 3) -> DataFrame:
     """Per class, the last test row and the last validation row in seeded order.
 
     Columns ``(_lab, _th1, _ti1, _th2, _ti2)``: a row is test when its

@@ -98,3 +98,24 @@ def test_smote_hot_base_rows_chunked(spark):
     r = syn.where("gap > 0").first()
     h = hashlib.md5(f"{r['label']}-{r['s']}-42".encode()).hexdigest()
     assert abs(r["gap"] - int(h[8:16], 16) / 2 ** 32) < 1e-12
+
+
+def test_text_models_bayes_and_logistic(spark):
+    """Both stage-1 models fit, give one probability per class summing to 1,
+    and beat always answering the majority class by a wide margin."""
+    from penmark.functions.features import add_text_column
+    from penmark.operators import models as ML
+    d = D.stratified_split(add_text_column(recipes_d(spark, SF_MID)))
+    test = d.where("split = 'test'")
+    majority = test.groupBy("label").count().agg(F.max("count")).first()[0] / test.count()
+    for model in ("bayes", "logistic"):
+        m = ML.text_classifier_fit(d.where("split = 'train'"), model=model)
+        s = ML.text_classifier_score(m, d.where("split = 'test'"), keep=["label"])
+        pc = ML.prob_columns(m)
+        assert len(pc) == 4
+        labels = ML.model_labels(m)
+        pred = F.element_at(F.array(*[F.lit(x) for x in labels]),
+                            F.array_position(F.array(*pc), F.array_max(F.array(*pc))).cast("int"))
+        row = s.select(F.avg((pred == F.col("label")).cast("double")).alias("acc"),
+                       F.max(F.abs(sum((F.col(c) for c in pc), F.lit(0.0)) - 1.0)).alias("err")).first()
+        assert row["acc"] > majority + 0.2 and row["err"] < 1e-9, (model, majority, row)
