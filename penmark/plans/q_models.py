@@ -15,10 +15,11 @@ from penmark.operators import dataset as D
 from penmark.operators.featurize import feature_extraction
 from penmark.plans import jobs as J
 from penmark.plans.catalog import r6, register
+from penmark.plans.q_dataset import split_sql
 from penmark.plans.q_profile import _BOX_SQL
 from penmark.session import cut_lineage, scratch_path
 from penmark.sources.artifacts import load_artifacts, save_artifacts
-from penmark.sources.fixtures import recipes_d, table
+from penmark.sources.fixtures import recipes_d, table, with_views
 
 # Small, fixed stage-2 settings for the registered checks (the job defaults
 # follow the reference: one hidden layer of 128, up to 1000 iterations).
@@ -57,7 +58,11 @@ def q_text_classifier_score(spark, sf):
     return s.select("recipe_id", r6(total).alias("prob_sum"))
 
 
-@register("stack_features")
+@register("stack_features", with_views("recipes_d") + ",\n" + split_sql("recipes_d") + f"""
+SELECT recipe_id, split,
+       CAST({len(ENGINEERED_FEATURES)} + (SELECT count(DISTINCT label) FROM splitted WHERE split = 'train')
+            AS INTEGER) AS n_features
+FROM splitted""")
 def q_stack_features(spark, sf):
     d, m = _stage1(spark, sf)
     f, _ = feature_extraction(ML.text_classifier_score(m, d), "split")
@@ -125,19 +130,25 @@ def q_predict_job(spark, sf):
     return J.predict_job(d.drop("label"), path)
 
 
-@register("save_artifacts")
+@register("save_artifacts", """
+SELECT doc_id AS recipe_id, true AS same FROM documents""")
 def q_save_artifacts(spark, sf):
-    """Predictions from the in-memory and the reloaded artifacts, side by side."""
+    """Every row scores the same with the in-memory and the reloaded artifacts."""
     d = recipes_d(spark, sf)
     res = J.train_job(d, mlp_params=QUICK)
     path = save_artifacts(spark, res.artifacts, scratch_path(spark, "artifacts"))
     before = J.predict_job(d, res.artifacts).withColumnRenamed("prediction", "before")
     after = J.predict_job(d, path).withColumnRenamed("prediction", "after")
-    return before.join(after, "recipe_id").select("recipe_id", "before", "after",
-                                                  (F.col("before") == F.col("after")).alias("same"))
+    return before.join(after, "recipe_id", "full").select(
+        "recipe_id", F.coalesce(F.col("before") == F.col("after"), F.lit(False)).alias("same"))
 
 
-@register("load_artifacts")
+@register("load_artifacts", """
+SELECT feature, CAST(position AS INTEGER) AS position FROM (
+  SELECT * FROM (VALUES """ + ", ".join(f"('{c}', {i})" for i, c in enumerate(ENGINEERED_FEATURES)) + """) f(feature, position)
+  UNION ALL
+  SELECT 'prob_' || lang, """ + str(len(ENGINEERED_FEATURES)) + """ + row_number() OVER (ORDER BY lang) - 1
+  FROM (SELECT DISTINCT lang FROM documents))""")
 def q_load_artifacts(spark, sf):
     d = recipes_d(spark, sf)
     res = J.train_job(d, mlp_params=QUICK)
