@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from penmark.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast
-from penmark.session import cut_lineage
+from pyspark import StorageLevel
+
+from penmark.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast, small_table
 
 HASH_COL = "_h"
 
@@ -116,14 +117,14 @@ def split_thresholds(df: DataFrame, label: str = "label", id_col: str = "recipe_
        cut position (running counts over the buckets);
     3. only the rows of those ≤ 2 buckets per class are ranked.
 
-    The table has one row per class, is written to the shared folder and
-    comes back with a broadcast hint when the class count is within bounds.
+    The table has one row per class; it is materialised once and comes back
+    with a broadcast hint when its count is within bounds.
     """
     keyed = df.select(F.col(label).alias("_lab"), F.col(id_col).alias("_id"),
                       hash_key(id_col, seed).alias(HASH_COL))
     keyed = keyed.withColumn("_b", F.substring(HASH_COL, 1, bucket_digits))
-    buckets = cut_lineage(keyed.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt")),
-                          "split-buckets")
+    buckets = keyed.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     classes = buckets.groupBy("_lab").agg(F.sum("_cnt").cast("bigint").alias("class_n"))
     # every table below has at most two rows per class: one count proves the
     # bound for both broadcasts (else the planner and AQE choose)
@@ -156,7 +157,9 @@ def split_thresholds(df: DataFrame, label: str = "label", id_col: str = "recipe_
                    for i in (1, 2) for c, n in ((HASH_COL, "_th"), ("_id", "_ti"))]))
     thr = sizes.select("_lab").join(rows.withColumnRenamed("_lab", "_rl"),
                                     F.col("_lab").eqNullSafe(F.col("_rl")), "left").drop("_rl")
-    return bc(cut_lineage(thr, "split-thresholds"))
+    thr, _ = small_table(thr)
+    buckets.unpersist()
+    return thr
 
 
 def stratified_split(df: DataFrame, label: str = "label", id_col: str = "recipe_id",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,19 @@ def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
     return F.broadcast(small) if n <= max_rows else small
 
 
+def small_table(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """Materialise a derived class-sized table once and broadcast it if small.
+
+    One job both computes the table (kept in memory, spilling to disk) and
+    counts it; the count is the proof of size behind the broadcast hint.
+    The table's lineage is short and deterministic, so a lost block is
+    recomputed, not lost.  Returns the frame and its row count.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.count()
+    return (F.broadcast(df) if n <= max_rows else df), n
+
+
 def hconcat_by_key(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Side-by-side columns of two frames of the same rows, aligned on a key.
 

@@ -18,8 +18,7 @@ from pyspark.sql.window import Window
 
 from penmark.functions.columns import coerce_double_default, numeric_first_key, trim_label
 from penmark.functions.features import list_count, text_length
-from penmark.operators.joins import checked_broadcast
-from penmark.session import cut_lineage
+from penmark.operators.joins import small_table
 
 # Fixed values that must equal the reference's for the same results.
 WHISKER = 1.5          # box whiskers at 1.5 × IQR
@@ -99,16 +98,16 @@ def group_box_stats(df: DataFrame, features: Sequence[str] = BOX_FEATURES,
     """Per feature and class: n, q1, median, q3, whisker ends, outlier count.
 
     Whiskers end at the most extreme value inside the fences (matplotlib's
-    rule).  The stats (one row per feature × class) are written once to the
-    shared folder and broadcast back after a row count, so the long table is
+    rule).  The stats (one row per feature × class) are materialised once and
+    broadcast back after a row count, so the long table is
     never shuffled by (feature, class) — a hot class would otherwise land in
     one task per feature — and the partial aggregation of the whisker pass
     runs before its (class-sized) shuffle.
     """
     long = unpivot(df.where(F.col(label).isNotNull()), features, label)
-    st = cut_lineage(box_stats(long, label, approx), "box-stats")
+    st, _ = small_table(box_stats(long, label, approx))
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
-    fences = checked_broadcast(st.select("feature", label, "lo_fence", "hi_fence"))
+    fences = st.select("feature", label, "lo_fence", "hi_fence")
     ends = (long.join(fences, ["feature", label])
             .groupBy("feature", label)
             .agg(F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
@@ -122,9 +121,9 @@ def outlier_rows(df: DataFrame, features: Sequence[str] = BOX_FEATURES,
                  approx: bool = False) -> DataFrame:
     """Rows drawn beyond the whiskers (fliers): (id, feature, label, value)."""
     long = unpivot(df.where(F.col(label).isNotNull()), features, label, ids=[id_col])
-    st = cut_lineage(box_stats(long.drop(id_col), label, approx)
-                     .select("feature", label, "lo_fence", "hi_fence"), "box-fences")
-    return (long.join(checked_broadcast(st), ["feature", label])
+    st, _ = small_table(box_stats(long.drop(id_col), label, approx)
+                        .select("feature", label, "lo_fence", "hi_fence"))
+    return (long.join(st, ["feature", label])
             .where((F.col("value") < F.col("lo_fence")) | (F.col("value") > F.col("hi_fence")))
             .select(id_col, "feature", label, "value"))
 
