@@ -1,9 +1,10 @@
 """End-to-end jobs: train, predict, profile.
 
-Each job is one lazy plan per phase with few actions: the split + text
-table is checkpointed once into the shared folder (reliable checkpoint,
-survives executor loss), bounds and class lists are one-row / class-sized
-actions, then the two fits, one aggregation for the evaluation and the save.
+Each job is one lazy plan per phase with few actions: the split labels
+rows where they are read (no copy of the text is written), bounds and class
+lists are one-row / class-sized actions, the narrow stage-2 feature table is
+written once to the shared folder (reliable, survives executor loss), then
+the two fits, one aggregation for the evaluation and the save.
 """
 
 from __future__ import annotations
@@ -51,7 +52,9 @@ def train_job(df: DataFrame, artifacts_path: str | None = None, grid_search: boo
     fold) → refit on train+val → evaluation on test → artifacts."""
     base = df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("string"))
     base = add_text_column(base)
-    split = cut_lineage(stratified_split(base, label, id_col, seed=seed))
+    # the split is a map-side labelling of the input (broadcast thresholds), so
+    # re-reading the input costs what reading a copy would: no copy is written
+    split = stratified_split(base, label, id_col, seed=seed)
     train = split.where(F.col("split") == "train")
     inner = stratified_split(train.drop("split"), label, id_col, test_size=0.2, val_size=0,
                              seed=seed, out="inner")
