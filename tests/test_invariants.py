@@ -119,3 +119,49 @@ def test_text_models_bayes_and_logistic(spark):
         row = s.select(F.avg((pred == F.col("label")).cast("double")).alias("acc"),
                        F.max(F.abs(sum((F.col(c) for c in pc), F.lit(0.0)) - 1.0)).alias("err")).first()
         assert row["acc"] > majority + 0.2 and row["err"] < 1e-9, (model, majority, row)
+
+
+def _split_brute(rows, test_size, val_size, seed=42):
+    """Reference rule in plain Python: rank each class by (md5(id-seed), id),
+    size the parts by largest remainder (ties: smaller label, NULL first)."""
+    import hashlib
+    import math
+
+    def alloc(counts, frac):
+        n = sum(counts.values())
+        keep = n - math.ceil(n * frac)
+        base = {c: counts[c] * keep // n for c in counts}
+        rem = {c: counts[c] * keep - base[c] * n for c in counts}
+        need = keep - sum(base.values())
+        order = sorted(counts, key=lambda c: (-rem[c], c is not None, c or ""))
+        return {c: base[c] + (1 if i < need else 0) for i, c in enumerate(order)}
+
+    counts = {}
+    for _, lab in rows:
+        counts[lab] = counts.get(lab, 0) + 1
+    keep1 = alloc(counts, test_size)
+    n_test = {c: counts[c] - keep1[c] for c in counts}
+    n_val = ({c: keep1[c] - alloc(keep1, val_size)[c] for c in counts} if val_size > 0
+             else {c: 0 for c in counts})
+    out = {}
+    for c in counts:
+        ids = sorted((i for i, lab in rows if lab == c),
+                     key=lambda i: (hashlib.md5(f"{i}-{seed}".encode()).hexdigest(), i))
+        for r, i in enumerate(ids):
+            out[i] = "test" if r < n_test[c] else "val" if r < n_test[c] + n_val[c] else "train"
+    return out
+
+
+def test_split_thresholds_edge_classes(spark):
+    """Classes of 1 and 2 rows (empty test/val parts), a NULL label, a large
+    class: the broadcast-threshold split equals the brute-force rule, for
+    the three-way and the two-way split."""
+    labs = ["a"] + ["b"] * 2 + [None] * 3 + ["c"] * 50 + ["d"] * 7
+    ids = table(spark, SF_SMALL, "orders").select("o_orderkey").orderBy("o_orderkey") \
+        .limit(len(labs)).collect()
+    rows = [(r["o_orderkey"], lab) for r, lab in zip(ids, labs)]
+    df = spark.createDataFrame(rows, "recipe_id long, label string")
+    for test_size, val_size in ((0.2, 0.2), (0.2, 0.0), (0.5, 0.5)):
+        got = {r["recipe_id"]: r["split"] for r in
+               D.stratified_split(df, test_size=test_size, val_size=val_size).collect()}
+        assert got == _split_brute(rows, test_size, val_size), (test_size, val_size)
