@@ -20,8 +20,20 @@ from pyspark.sql import functions as F
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
 
 
+# Text tables and their row keys.  The given files hold one Parquet row group
+# each, and a scan cannot split a row group: every per-row text step
+# (tokenising, regexes, model scoring) would run in a single task.  Such a
+# table is spread once by its key right after the scan (a hash exchange whose
+# size AQE sets); the exchange moves the rows once and everything after it
+# runs on every core.  Column pruning still reaches the scan, so passes that
+# need only the key and label shuffle only those.
+SPREAD_KEYS = {"documents": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = SPREAD_KEYS.get(name)
+    return df.repartition(key) if key else df
 
 
 def recipes_d(spark: SparkSession, sf_dir: str, label: str = "lang") -> DataFrame:
