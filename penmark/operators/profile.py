@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from penmark.functions.columns import coerce_double_default, numeric_first_key, trim_label
 from penmark.functions.features import list_count, text_length
 from penmark.operators.joins import small_table
+from penmark.session import cut_lineage
 
 # Fixed values that must equal the reference's for the same results.
 WHISKER = 1.5          # box whiskers at 1.5 × IQR
@@ -104,7 +105,9 @@ def group_box_stats(df: DataFrame, features: Sequence[str] = BOX_FEATURES,
     one task per feature — and the partial aggregation of the whisker pass
     runs before its (class-sized) shuffle.
     """
-    long = unpivot(df.where(F.col(label).isNotNull()), features, label)
+    # both passes read the narrow long table, written once, instead of
+    # deriving the features from the text twice
+    long = cut_lineage(unpivot(df.where(F.col(label).isNotNull()), features, label), "box-long")
     st, _ = small_table(box_stats(long, label, approx))
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     fences = st.select("feature", label, "lo_fence", "hi_fence")
@@ -120,7 +123,8 @@ def outlier_rows(df: DataFrame, features: Sequence[str] = BOX_FEATURES,
                  label: str = "label", id_col: str = "recipe_id",
                  approx: bool = False) -> DataFrame:
     """Rows drawn beyond the whiskers (fliers): (id, feature, label, value)."""
-    long = unpivot(df.where(F.col(label).isNotNull()), features, label, ids=[id_col])
+    long = cut_lineage(unpivot(df.where(F.col(label).isNotNull()), features, label, ids=[id_col]),
+                       "outlier-long")
     st, _ = small_table(box_stats(long.drop(id_col), label, approx)
                         .select("feature", label, "lo_fence", "hi_fence"))
     return (long.join(st, ["feature", label])
