@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from penmark.operators.dataset import balance_deficits, stratified_rank
+from penmark.operators.joins import small_table
 from penmark.operators.neighbours import knn_within_class
 
 # Synthetic rows generated by one exploded chunk (spreads a small class with a
@@ -37,7 +38,8 @@ def _bases(df: DataFrame, id_col: str, label: str, seed: int) -> DataFrame:
     """Rows used as bases (seeded class rank below the class's deficit), with
     ``class_rank``, ``class_n`` and ``deficit``; other columns are kept."""
     ranked = stratified_rank(df, label, id_col, seed)
-    deficits = balance_deficits(df.select(label), label).select(F.col(label).alias("_lab"), "deficit")
+    deficits, _ = small_table(balance_deficits(df.select(label), label)
+                              .select(F.col(label).alias("_lab"), "deficit"))
     return (ranked.join(deficits, F.col(label).eqNullSafe(F.col("_lab"))).drop("_lab")
             .where(F.col("class_rank") < F.col("deficit")))
 
