@@ -42,7 +42,6 @@ def _ranked(df: DataFrame, label: str, id_col: str, seed: int, bucket_digits: in
                    wcls.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .withColumn("class_n", F.sum("_cnt").over(wcls))
                .select(F.col(label).alias("_lab"), F.col("_b").alias("_bb"), "_off", "class_n"))
-    offsets, _ = small_table(offsets)          # ≤ classes × 16^digits rows
     joined = h.join(offsets, F.col(label).eqNullSafe(F.col("_lab")) & (F.col("_b") == F.col("_bb")))
     w = Window.partitionBy(label, "_b").orderBy(HASH_COL, id_col)
     ranked = (joined.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
