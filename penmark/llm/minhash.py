@@ -200,9 +200,8 @@ def linked(buckets: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFr
     """Links (a, b) that connect what all checked pairs within buckets (key,
     node) would connect.
 
-    Each round takes a few members of each open bucket that were not centres
-    yet (1, then 2, 4, 8) and checks every member of another group against
-    them.  A bucket is done when all its members are one group or all were
+    Each round takes members of each open bucket that were not centres yet (up
+    to 1, then 4, 16, ...) and checks every member of another group against them.  A bucket is done when all its members are one group or all were
     centres, so each pair of a bucket is checked or needless.
     """
     spark = buckets.sparkSession
@@ -228,7 +227,7 @@ def linked(buckets: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFr
         size = used.groupBy("key").agg(F.count(F.lit(1)).alias("used"))
         open_ = (now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
                  .where("lo < hi").join(size, "key").where("used < n - 1").select("key"))
-        live = cut_lineage(now.join(open_, "key", "left_semi"), "open")
+        live = cut_lineage(now.join(cut_lineage(open_, "open"), "key", "left_semi"), "live")
         if live.limit(1).count() == 0:
             return found
-        width = min(2 * width, 8)
+        width *= 4
