@@ -8,10 +8,22 @@ from pyspark.sql import functions as F
 from penmark.functions.features import empty_string_array, list_count
 
 
+#: A decimal number as a table reader takes it: no type suffix, no hexadecimal.
+NUMBER = r"\A[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\z"
+_SPACE = r"[\s\p{Z}\x{85}\x{1C}-\x{1F}]"
+
+
+def strip_space(c: str | Column) -> Column:
+    """Cut all white space at both ends, not blanks alone."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.regexp_replace(col, rf"\A{_SPACE}++|(?<!{_SPACE}){_SPACE}++\z", "")
+
+
 def coerce_double_default(c: str | Column, default: float = 0.0) -> Column:
-    """Numeric parse of any cell; unparseable or NULL becomes ``default``."""
+    """Numeric parse of any cell; NULL, NaN or unparseable becomes ``default``."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(col.cast("string").try_cast("double"), F.lit(float(default)))
+    text = strip_space(col.cast("string"))
+    return F.coalesce(F.when(text.rlike(NUMBER), text.try_cast("double")), F.lit(float(default)))
 
 
 def coerce_int_default(c: str | Column, default: int = 0) -> Column:
@@ -44,7 +56,7 @@ def derive_count_if_absent(df: DataFrame, count_col: str = "n_ingredients",
 
 def trim_label(c: str | Column) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.trim(col.cast("string"))
+    return strip_space(col.cast("string"))
 
 
 def numeric_first_key() -> list[Column]:

@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pyspark import StorageLevel
 
-from penmark.operators.joins import MAX_BROADCAST_ROWS, checked_broadcast, small_table
+from penmark.operators.joins import small_table
+from penmark.session import cut_lineage
 
 HASH_COL = "_h"
 
@@ -117,20 +117,14 @@ def split_thresholds(df: DataFrame, label: str = "label", id_col: str = "recipe_
        cut position (running counts over the buckets);
     3. only the rows of those ≤ 2 buckets per class are ranked.
 
-    The table has one row per class; it is materialised once and comes back
-    with a broadcast hint when its count is within bounds.
+    The table has one row per class; it is written once, so later plans do not
+    hold this one, and comes back with a broadcast hint when it is small.
     """
     keyed = df.select(F.col(label).alias("_lab"), F.col(id_col).alias("_id"),
                       hash_key(id_col, seed).alias(HASH_COL))
     keyed = keyed.withColumn("_b", F.substring(HASH_COL, 1, bucket_digits))
-    buckets = keyed.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    buckets = cut_lineage(keyed.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_cnt")), "buckets")
     classes = buckets.groupBy("_lab").agg(F.sum("_cnt").cast("bigint").alias("class_n"))
-    # every table below has at most two rows per class: one count proves the
-    # bound for both broadcasts (else the planner and AQE choose)
-    half = MAX_BROADCAST_ROWS // 2
-    small = buckets.count() <= half or classes.limit(half + 1).count() <= half
-    bc = F.broadcast if small else (lambda x: x)
     sizes = split_sizes_by_class(classes, "_lab", test_size, val_size)
     # 0-based cut positions: last test row, last validation row (when non-empty)
     cuts = (sizes.select("_lab", F.explode(F.array(
@@ -145,12 +139,14 @@ def split_thresholds(df: DataFrame, label: str = "label", id_col: str = "recipe_
     at = (cuts.join(offs, F.col("_lab").eqNullSafe(F.col("_al"))
                     & (F.col("_pos") >= F.col("_off")) & (F.col("_pos") < F.col("_end")))
           .select("_al", "_ab", "_which", (F.col("_pos") - F.col("_off")).alias("_local")))
-    hit = bc(at.select("_al", "_ab").distinct())
+    # two rows per class: written, measured, broadcast if small (else the planner and AQE choose)
+    at, _ = small_table(at)
+    hit, _ = small_table(at.select("_al", "_ab").distinct())
     inside = keyed.join(hit, F.col("_lab").eqNullSafe(F.col("_al")) & (F.col("_b") == F.col("_ab")),
                         "left_semi")
     w = Window.partitionBy("_lab", "_b").orderBy(HASH_COL, "_id")
     ranked = inside.withColumn("_r", F.row_number().over(w) - 1)
-    rows = (ranked.join(bc(at), F.col("_lab").eqNullSafe(F.col("_al")) & (F.col("_b") == F.col("_ab"))
+    rows = (ranked.join(at, F.col("_lab").eqNullSafe(F.col("_al")) & (F.col("_b") == F.col("_ab"))
                         & (F.col("_r") == F.col("_local")))
             .groupBy("_lab")
             .agg(*[F.max(F.when(F.col("_which") == i, F.col(c))).alias(f"{n}{i}")
@@ -158,7 +154,6 @@ def split_thresholds(df: DataFrame, label: str = "label", id_col: str = "recipe_
     thr = sizes.select("_lab").join(rows.withColumnRenamed("_lab", "_rl"),
                                     F.col("_lab").eqNullSafe(F.col("_rl")), "left").drop("_rl")
     thr, _ = small_table(thr)
-    buckets.unpersist()
     return thr
 
 
@@ -208,13 +203,15 @@ def label_encode(df: DataFrame, labels: DataFrame, label: str = "label",
                  out: str = "label_idx") -> DataFrame:
     """Map label → index by joining the class table (broadcast: one row per class)."""
     t = labels.select(F.col(label).alias("_lab"), F.col("label_idx").alias(out))
-    return df.join(checked_broadcast(t), F.col(label) == F.col("_lab"), "left").drop("_lab")
+    t, _ = small_table(t)
+    return df.join(t, F.col(label) == F.col("_lab"), "left").drop("_lab")
 
 
 def label_decode(df: DataFrame, labels: DataFrame, idx_col: str = "prediction",
                  out: str = "predicted_label", label: str = "label") -> DataFrame:
     t = labels.select(F.col(label).alias(out), F.col("label_idx").alias("_idx"))
-    return (df.join(checked_broadcast(t), F.col(idx_col).cast("bigint") == F.col("_idx"), "left")
+    t, _ = small_table(t)
+    return (df.join(t, F.col(idx_col).cast("bigint") == F.col("_idx"), "left")
             .drop("_idx"))
 
 

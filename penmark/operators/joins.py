@@ -4,35 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup table broadcast without the optimizer's say.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the side (a class or bounds table).
+from penmark.session import cut_lineage
 
-    Above the bound the frame is returned as is and the planner (with AQE's
-    runtime statistics) chooses the join strategy.
-    """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+# Largest lookup table broadcast without the optimizer's say.
+MAX_BROADCAST_BYTES = 16 << 20
 
 
-def small_table(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Materialise a derived class-sized table once and broadcast it if small.
+def small_table(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, int]:
+    """Write a derived class-sized table once, and broadcast it if small.
 
-    One job both computes the table (kept in memory, spilling to disk) and
-    counts it; the count is the proof of size behind the broadcast hint.
-    The table's lineage is short and deterministic, so a lost block is
-    recomputed, not lost.  Returns the frame and its row count.
+    The table is cut off from its plan (so plans that use it stay short) and
+    measured: rows and the length of their text form, the proof of size behind
+    the broadcast hint.  A larger one is left to the planner and AQE's runtime
+    statistics.  Returns the frame and its row count.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
+    df = cut_lineage(df, "small")
+    n, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    return (F.broadcast(df) if (size or 0) <= max_bytes else df), n
 
 
 def hconcat_by_key(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -50,4 +41,5 @@ def map_lookup(df: DataFrame, mapping: DataFrame, key: str, value: str,
                out: str | None = None) -> DataFrame:
     """Dictionary lookup ``df[key] → mapping[value]`` (NULL when absent)."""
     m = mapping.select(F.col(key).alias("_k"), F.col(value).alias(out or value))
-    return df.join(checked_broadcast(m), F.col(key) == F.col("_k"), "left").drop("_k")
+    m, _ = small_table(m)
+    return df.join(m, F.col(key) == F.col("_k"), "left").drop("_k")

@@ -23,12 +23,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from penmark.functions.features import explode_probabilities
-from penmark.operators.metrics import accuracy
+from penmark.operators.metrics import accuracy, classification_report
 from penmark.operators.smote import smote_oversample
 from penmark.session import cut_lineage
 
@@ -85,16 +85,6 @@ def text_pipeline(text_col: str = "text", label_col: str = "label", model: str =
     return Pipeline(stages=stages)
 
 
-def fit_partitions(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """At most ``per_core`` × the cluster's cores partitions (narrow coalesce).
-
-    Both text models reduce dense classes × features buffers, one per task;
-    bounding the task count by the cluster size instead of the input split
-    count keeps that reduction independent of the data size.
-    """
-    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
-
-
 def text_classifier_fit(train: DataFrame, text_col: str = "text", label_col: str = "label",
                         model: str = TEXT_MODEL, **kw) -> PipelineModel:
     """Fit the stage-1 pipeline.
@@ -109,7 +99,7 @@ def text_classifier_fit(train: DataFrame, text_col: str = "text", label_col: str
     indexer, tok, tf = stages[:3]
     indexer_model = indexer.fit(train.select(label_col))
     counts = tf.transform(tok.transform(indexer_model.transform(
-        fit_partitions(train.select(text_col, label_col))))).select("label_idx", "_tf")
+        train.select(text_col, label_col)))).select("label_idx", "_tf")
     if model == "bayes":
         return PipelineModel(stages=[indexer_model, tok, tf, stages[3].fit(counts)])
     idf, lr = stages[3:]
@@ -156,8 +146,8 @@ def mlp(n_in: int, n_out: int, hidden: Sequence[int] = HIDDEN, max_iter: int = M
 def balanced_training_rows(df: DataFrame, feature_cols: Sequence[str], id_col: str,
                            label_col: str = "label_idx", k: int = 5, seed: int = SEED) -> DataFrame:
     """(label_idx, features vector) with SMOTE rows added inside every class."""
-    vec = df.select(F.col(id_col), F.col(label_col),
-                    F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_v"))
+    vec = require_features(df, feature_cols).select(F.col(id_col), F.col(label_col),
+                    F.array(*[F.col(c) for c in feature_cols]).alias("_v"))
     bal = smote_oversample(vec, id_col, label_col, "_v", k=k, seed=seed)
     rows = bal.select(F.col("label").cast("double").alias("label_idx"),
                       array_to_vector("vec").alias("features"))
@@ -166,9 +156,19 @@ def balanced_training_rows(df: DataFrame, feature_cols: Sequence[str], id_col: s
     return cut_lineage(rows)
 
 
+def require_features(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
+    """``df`` whose evaluation fails, with the column's name, where a feature is
+    missing or NaN: neither model can use such a row."""
+    def checked(c: str) -> Column:
+        x = F.col(c).cast("double")
+        bad = x.isNull() | F.isnan(x)
+        return F.when(bad, F.raise_error(F.lit(f"feature {c} is missing")).cast("double")).otherwise(x)
+    return df.withColumns({c: checked(c) for c in feature_cols})
+
+
 def assemble(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(feature_cols), outputCol="features",
-                           handleInvalid="keep").transform(df)
+                           handleInvalid="error").transform(require_features(df, feature_cols))
 
 
 def mlp_fit(train: DataFrame, feature_cols: Sequence[str], n_classes: int, id_col: str,
@@ -204,9 +204,11 @@ def param_grid(hidden: Sequence[Sequence[int]] = GRID_HIDDEN,
 
 
 def grid_search(df: DataFrame, feature_cols: Sequence[str], labels: Sequence[str], id_col: str,
-                grid: Sequence[dict] | None = None, split_col: str = "split", parallel: int = 4):
+                grid: Sequence[dict] | None = None, split_col: str = "split", parallel: int = 4,
+                metric: str = "accuracy"):
     """Fit every combination on train (-1 fold), score on validation (0 fold),
-    refit the best on train + validation.  Returns (model, leaderboard frame).
+    refit the best by ``metric`` (accuracy, or f1: the classes' mean F1) on
+    train + validation.  Returns (model, leaderboard frame).
 
     Combinations run as concurrent Spark jobs from a thread pool; the
     balanced training rows are computed once and checkpointed.
@@ -218,15 +220,15 @@ def grid_search(df: DataFrame, feature_cols: Sequence[str], labels: Sequence[str
 
     def one(p: dict):
         m = mlp(len(feature_cols), len(labels), **p).fit(train_rows)
-        acc = accuracy(mlp_predict(m, val, feature_cols, labels), "label", "prediction").first()["accuracy"]
-        return p, acc
+        rep = {r["cls"]: r["f1"] for r in classification_report(mlp_predict(m, val, feature_cols, labels)).collect()}
+        return p, {"accuracy": rep.get("accuracy") or 0.0, "f1": rep.get("macro avg") or 0.0}
 
     with ThreadPoolExecutor(max_workers=parallel) as ex:
         results = list(ex.map(one, grid))
     board = spark.createDataFrame(
-        [(str(p["hidden"]), p["solver"], float(p["step"]), int(p["max_iter"]), float(a or 0.0))
-         for p, a in results], "hidden string, solver string, step double, max_iter int, val_accuracy double")
-    best = max(results, key=lambda r: (r[1] or 0.0))[0]
+        [(str(p["hidden"]), p["solver"], float(p["step"]), int(p["max_iter"]), a["accuracy"], a["f1"])
+         for p, a in results], "hidden string, solver string, step double, max_iter int, val_accuracy double, val_f1 double")
+    best = max(results, key=lambda r: r[1][metric])[0]
     final = mlp_fit(df.where(F.col(split_col).isin("train", "val")), feature_cols, len(labels), id_col, **best)
     return final, board
 

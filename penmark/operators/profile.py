@@ -1,8 +1,8 @@
 """Per-class profiling: counts, box statistics, outliers, global quantile.
 
 The reference loops over features × classes and filters the frame each time.
-Here the features are unpivoted once and one grouped aggregate computes all
-box statistics; partial aggregation runs before the shuffle.  Exact
+Here one grouped aggregate computes the box statistics of all features; partial
+aggregation runs before the shuffle.  Exact
 percentiles keep a value→count map per group (memory grows with distinct
 values, not rows: counts and lengths have few); ``approx=True`` switches to
 ``percentile_approx`` for continuous features with many distinct values.
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -72,26 +72,26 @@ def global_quantile(df: DataFrame, col: str, q: float = CLIP_QUANTILE,
     return df.agg(pct.cast("double").try_cast("bigint").alias("clip_limit"))
 
 
-def unpivot(df: DataFrame, features: Sequence[str], label: str = "label",
-            ids: Sequence[str] = ()) -> DataFrame:
-    """Wide features → long (ids…, label, feature, value double)."""
-    base = df.select(*ids, label, *[F.col(f).cast("double").alias(f) for f in features])
-    return base.unpivot([*ids, label], list(features), "feature", "value")
+def _narrow(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The features alone, written once: later passes do not read the text again."""
+    return cut_lineage(df.select(*keep, *[F.col(f).cast("double").alias(f) for f in features]), "box")
 
 
-def box_stats(long: DataFrame, label: str = "label", approx: bool = False) -> DataFrame:
-    """Quartiles and fences per (feature, class) from a long table."""
+def _box_wide(rows: DataFrame, features: Sequence[str], label: str, approx: bool) -> DataFrame:
+    """One row per class: n and, for each feature f, a struct ``s_f`` of its box
+    statistics, from one grouped pass."""
     qs = [0.25, 0.5, 0.75]
-    pct = (F.percentile_approx("value", qs, 100000) if approx else F.percentile("value", qs))
-    st = (long.groupBy("feature", label)
-          .agg(F.count(F.lit(1)).alias("n"), pct.alias("_q"),
-               F.min("value").alias("min_value"), F.max("value").alias("max_value")))
-    q1, med, q3 = (F.col("_q")[i].cast("double") for i in range(3))
-    return (st.withColumns({"q1": q1, "median": med, "q3": q3})
-            .withColumn("iqr", F.col("q3") - F.col("q1"))
-            .withColumn("lo_fence", F.col("q1") - F.lit(WHISKER) * F.col("iqr"))
-            .withColumn("hi_fence", F.col("q3") + F.lit(WHISKER) * F.col("iqr"))
-            .drop("_q"))
+    pct = (lambda f: F.percentile_approx(f, qs, 100000)) if approx else (lambda f: F.percentile(f, qs))
+    aggs = [x for f in features for x in (pct(f).alias(f"q_{f}"), F.min(f).alias(f"lo_{f}"), F.max(f).alias(f"hi_{f}"))]
+    st = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *aggs)
+
+    def box(f: str) -> Column:
+        q1, median, q3 = (F.col(f"q_{f}")[i].cast("double") for i in range(3))
+        return F.struct(q1.alias("q1"), median.alias("median"), q3.alias("q3"), F.col(f"lo_{f}").alias("min_value"),
+                        F.col(f"hi_{f}").alias("max_value"), (q3 - q1).alias("iqr"),
+                        (q1 - F.lit(WHISKER) * (q3 - q1)).alias("lo_fence"),
+                        (q3 + F.lit(WHISKER) * (q3 - q1)).alias("hi_fence")).alias(f"s_{f}")
+    return st.select(label, "n", *[box(f) for f in features])
 
 
 def group_box_stats(df: DataFrame, features: Sequence[str] = BOX_FEATURES,
@@ -99,37 +99,35 @@ def group_box_stats(df: DataFrame, features: Sequence[str] = BOX_FEATURES,
     """Per feature and class: n, q1, median, q3, whisker ends, outlier count.
 
     Whiskers end at the most extreme value inside the fences (matplotlib's
-    rule).  The stats (one row per feature × class) are materialised once and
-    broadcast back after a row count, so the long table is
-    never shuffled by (feature, class) — a hot class would otherwise land in
-    one task per feature — and the partial aggregation of the whisker pass
-    runs before its (class-sized) shuffle.
+    rule).  Two grouped passes over the narrow features, one row per record:
+    the percentiles, then the whiskers.  The fences (one row per class) are
+    written, measured and broadcast back if small, so rows are never shuffled by
+    class and a hot class is no single task's work.
     """
-    # both passes read the narrow long table, written once, instead of
-    # deriving the features from the text twice
-    long = cut_lineage(unpivot(df.where(F.col(label).isNotNull()), features, label), "box-long")
-    st, _ = small_table(box_stats(long, label, approx))
-    inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
-    fences = st.select("feature", label, "lo_fence", "hi_fence")
-    ends = (long.join(fences, ["feature", label])
-            .groupBy("feature", label)
-            .agg(F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
-                 F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-                 F.count(F.when(~inside, F.lit(1))).alias("n_outliers")))
-    return st.join(ends, ["feature", label])
+    rows = _narrow(df.where(F.col(label).isNotNull()), features, [label])
+    st, _ = small_table(_box_wide(rows, features, label, approx))
+    aggs = []
+    for f in features:
+        inside = (F.col(f) >= F.col(f"s_{f}.lo_fence")) & (F.col(f) <= F.col(f"s_{f}.hi_fence"))
+        aggs += [F.min(F.when(inside, F.col(f))).alias(f"lo_{f}"), F.max(F.when(inside, F.col(f))).alias(f"hi_{f}"),
+                 F.count(F.when(~inside, F.lit(1))).alias(f"out_{f}")]
+    ends = rows.join(st, label).groupBy(label).agg(*aggs)
+    each = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"s_{f}").alias("s"), F.col(f"lo_{f}").alias("whisker_lo"),
+                              F.col(f"hi_{f}").alias("whisker_hi"), F.col(f"out_{f}").alias("n_outliers")) for f in features])
+    return (st.join(ends, label).select(label, "n", F.explode(each).alias("e"))
+            .select("e.feature", label, "n", "e.s.*", "e.whisker_lo", "e.whisker_hi", "e.n_outliers"))
 
 
 def outlier_rows(df: DataFrame, features: Sequence[str] = BOX_FEATURES,
                  label: str = "label", id_col: str = "recipe_id",
                  approx: bool = False) -> DataFrame:
     """Rows drawn beyond the whiskers (fliers): (id, feature, label, value)."""
-    long = cut_lineage(unpivot(df.where(F.col(label).isNotNull()), features, label, ids=[id_col]),
-                       "outlier-long")
-    st, _ = small_table(box_stats(long.drop(id_col), label, approx)
-                        .select("feature", label, "lo_fence", "hi_fence"))
-    return (long.join(st, ["feature", label])
-            .where((F.col("value") < F.col("lo_fence")) | (F.col("value") > F.col("hi_fence")))
-            .select(id_col, "feature", label, "value"))
+    rows = _narrow(df.where(F.col(label).isNotNull()), features, [id_col, label])
+    st, _ = small_table(_box_wide(rows, features, label, approx))
+    each = F.array(*[F.when((F.col(f) < F.col(f"s_{f}.lo_fence")) | (F.col(f) > F.col(f"s_{f}.hi_fence")),
+                            F.struct(F.lit(f).alias("feature"), F.col(f).alias("value"))) for f in features])
+    return (rows.join(st, label).select(id_col, label, F.explode(F.filter(each, lambda x: x.isNotNull())).alias("e"))
+            .select(id_col, "e.feature", label, "e.value"))
 
 
 def empty_group_zero(stats: DataFrame, classes: DataFrame, features: Sequence[str],

@@ -8,11 +8,12 @@ recomputed partition after a lost executor) gives the same rows:
 * synthetic row s uses the base row whose seeded class rank is ``s mod n_c``
   (bases spread evenly over the class);
 * ``h = md5(label ‖ '-' ‖ s ‖ '-' ‖ seed)``; neighbour rank
-  ``1 + int(h[0:8], 16) mod k_c`` with ``k_c = min(k, n_c − 1)``, and gap
+  ``1 + int(h[0:8], 16) mod k``, and gap
   ``int(h[8:16], 16) / 2³²`` ∈ [0, 1);
 * value = base + gap · (neighbour − base), element-wise.
 
-A class with a single row has no neighbour; its synthetic rows copy it.
+A class with too few rows for k neighbours fails (``small_class="raise"``), or
+uses the ``n_c − 1`` it has (``"shrink"``), its only row being copied.
 Neighbours are computed only for the base rows actually used.
 """
 
@@ -45,7 +46,7 @@ def _bases(df: DataFrame, id_col: str, label: str, seed: int) -> DataFrame:
 
 
 def _explode_synthetic(bases: DataFrame, id_col: str, label: str, k: int, seed: int,
-                       chunk_rows: int) -> DataFrame:
+                       chunk_rows: int, small_class: str) -> DataFrame:
     """One row per synthetic row to make: the base row's columns plus ``s``,
     ``k_c``, ``nb_rank`` and ``gap``.
 
@@ -60,6 +61,10 @@ def _explode_synthetic(bases: DataFrame, id_col: str, label: str, k: int, seed:
     syn = chunks.withColumn("s", F.explode(F.sequence(F.col("_start"), last, F.col("class_n")))).drop("_start")
     h = F.md5(F.concat_ws("-", F.col(label).cast("string"), F.col("s").cast("string"), F.lit(str(seed))))
     k_c = F.least(F.lit(k), F.col("class_n") - 1)
+    if small_class == "raise":
+        msg = F.concat(F.lit("class "), F.col(label).cast("string"), F.lit(f" has too few rows for {k} neighbours: "),
+                       F.col("class_n").cast("string"))
+        k_c = F.when(F.col("class_n") <= k, F.raise_error(msg).cast("bigint")).otherwise(F.lit(k))
     return (syn.withColumn("_h", h).withColumn("k_c", k_c.cast("bigint"))
             .withColumn("nb_rank", F.when(F.col("k_c") > 0, F.pmod(_hex_int(F.col("_h"), 1), F.col("k_c")) + 1)
                         .cast("bigint"))
@@ -67,17 +72,9 @@ def _explode_synthetic(bases: DataFrame, id_col: str, label: str, k: int, seed:
             .withColumn("s", F.col("s").cast("bigint")).drop("_h"))
 
 
-def synthetic_plan(df: DataFrame, id_col: str, label: str, k: int = 5, seed: int = 42,
-                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """(label, s, base_id, nb_rank, gap, k_c) for every synthetic row to make."""
-    bases = _bases(df.select(id_col, label), id_col, label, seed)
-    syn = _explode_synthetic(bases, id_col, label, k, seed, chunk_rows)
-    return syn.select(label, "s", F.col(id_col).alias("base_id"), "nb_rank", "gap", "k_c")
-
-
 def smote_oversample(df: DataFrame, id_col: str, label: str, vec_col: str, k: int = 5,
                      seed: int = 42, block_rows: int = 2048,
-                     chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                     chunk_rows: int = CHUNK_ROWS, small_class: str = "raise") -> DataFrame:
     """Original rows plus synthetic ones.
 
     Columns: ``row_key`` (original id as text, or ``syn-<label>-<s>``),
@@ -90,6 +87,8 @@ def smote_oversample(df: DataFrame, id_col: str, label: str, vec_col: str, k: in
     runs after the explode, so a base used by many synthetic rows is never a
     hot join key and synthetic rows are never shuffled.
     """
+    if small_class not in ("raise", "shrink"):
+        raise ValueError(f"unknown small_class {small_class!r}")
     rows = df.select(F.col(id_col).alias("_id"), F.col(label).alias("_label"),
                      F.col(vec_col).cast("array<double>").alias("_vec"))
     bases = _bases(rows, "_id", "_label", seed)
@@ -99,7 +98,7 @@ def smote_oversample(df: DataFrame, id_col: str, label: str, vec_col: str, k: in
            .agg(F.array_sort(F.collect_list(F.struct("rank", F.col("c_id").alias("id"),
                                                      F.col("c_vec").alias("vec")))).alias("_nbs")))
     with_nbs = bases.join(nbs, "_id", "left")            # ≤ k neighbours per base row
-    syn = _explode_synthetic(with_nbs, "_id", "_label", k, seed, chunk_rows)
+    syn = _explode_synthetic(with_nbs, "_id", "_label", k, seed, chunk_rows, small_class)
     nb = F.when(F.col("nb_rank").isNotNull(), F.try_element_at("_nbs", F.col("nb_rank").cast("int")))
     syn = (syn.withColumn("_nb", nb)
            .withColumn("nb_id", F.coalesce(F.col("_nb.id"), F.col("_id")))        # no neighbour: copy

@@ -9,7 +9,7 @@ the two fits, one aggregation for the evaluation and the save.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from penmark.operators import profile as P
 from penmark.operators.dataset import stratified_split
 from penmark.operators.featurize import feature_extraction
 from penmark.session import cut_lineage
-from penmark.sources.artifacts import Artifacts, load_artifacts, save_artifacts
+from penmark.sources.artifacts import Artifacts, load_artifacts, newest_artifacts, save_artifacts, save_version
 from penmark.sources.sinks import sink_predictions
 
 
@@ -34,7 +34,6 @@ class TrainResult:
     report: DataFrame
     confusion: DataFrame
     leaderboard: DataFrame | None = None
-    extra: dict = field(default_factory=dict)
 
 
 def with_label_index(df: DataFrame, labels: list[str], label: str = "label") -> DataFrame:
@@ -44,7 +43,7 @@ def with_label_index(df: DataFrame, labels: list[str], label: str = "label") ->
 
 def train_job(df: DataFrame, artifacts_path: str | None = None, grid_search: bool = False,
               seed: int = 42, id_col: str = "recipe_id", label: str = "label",
-              grid: list[dict] | None = None, mlp_params: dict | None = None,
+              grid: list[dict] | None = None, metric: str = "accuracy", mlp_params: dict | None = None,
               stage1_params: dict | None = None) -> TrainResult:
     """Split 64/16/20 → stage-1 text model (fit on 80 % of train, checked on the
     other 20 %) → probabilities for all rows → features with train-fitted
@@ -58,7 +57,7 @@ def train_job(df: DataFrame, artifacts_path: str | None = None, grid_search: boo
     train = split.where(F.col("split") == "train")
     inner = stratified_split(train.drop("split"), label, id_col, test_size=0.2, val_size=0,
                              seed=seed, out="inner")
-    s1 = ML.text_classifier_fit(inner.where(F.col("inner") == "train"), **(stage1_params or {}))
+    s1 = ML.text_classifier_fit(inner.where(F.col("inner") == "train"), label_col=label, **(stage1_params or {}))
     labels = ML.model_labels(s1)
     s1_val = ML.text_classifier_score(s1, inner.where(F.col("inner") == "test"))
     pcols = ML.prob_columns(s1)
@@ -71,19 +70,30 @@ def train_job(df: DataFrame, artifacts_path: str | None = None, grid_search: boo
     feats, bounds = feature_extraction(scored, "split")
     feature_cols = ENGINEERED_FEATURES + pcols
     feats = cut_lineage(with_label_index(feats, labels, label)
-                        .select(id_col, label, "label_idx", "split", *feature_cols))
+                        .select(id_col, F.col(label).alias("label"), "label_idx", "split", *feature_cols))
     board = None
     if grid_search:
-        model, board = ML.grid_search(feats, feature_cols, labels, id_col, grid=grid)
-        val_acc = board.agg(F.max("val_accuracy")).first()[0]
+        model, board = ML.grid_search(feats, feature_cols, labels, id_col, grid=grid, metric=metric)
+        val_acc = board.orderBy(F.desc(f"val_{metric}")).first()["val_accuracy"]
     else:
         model, val_acc = ML.train_val_score(feats, feature_cols, labels, id_col, **(mlp_params or {}))
     test = ML.mlp_predict(model, feats.where(F.col("split") == "test"), feature_cols, labels)
-    art = Artifacts(s1, model, bounds, feature_cols, labels)
+    kind = df.schema[label].dataType.simpleString()
+    art = Artifacts(s1, model, bounds, feature_cols, labels, kind)
     if artifacts_path:
         save_artifacts(df.sparkSession, art, artifacts_path)
-    return TrainResult(art, s1_acc, val_acc, test, M.classification_report(test, label),
-                       M.confusion_matrix(test, labels, label), board)
+    return TrainResult(art, s1_acc, val_acc, test, M.classification_report(test),
+                       M.confusion_matrix(test, labels), board)
+
+
+def train_or_load(df: DataFrame, root: str, reuse: bool = True, **kw) -> Artifacts:
+    """The newest artifacts under ``root``; trained and saved there as a new
+    version if there are none or ``reuse`` is off."""
+    spark = df.sparkSession
+    path = newest_artifacts(spark, root) if reuse else None
+    if path is None:
+        path = save_version(spark, train_job(df, **kw).artifacts, root)
+    return load_artifacts(spark, path)
 
 
 def predict_job(df: DataFrame, artifacts: Artifacts | str, id_col: str = "recipe_id",
@@ -97,15 +107,18 @@ def predict_job(df: DataFrame, artifacts: Artifacts | str, id_col: str = "recipe
     scored = ML.text_classifier_score(art.stage1, t)
     feats, _ = feature_extraction(scored, split_col="", bounds=art.bounds, recount_ingredients=True)
     pred = ML.mlp_predict(art.stage2, feats, art.feature_cols, art.labels) \
-        .select(id_col, "prediction")
+        .select(id_col, F.col("prediction").cast(art.label_type).alias("prediction"))
     if output_path:
         return sink_predictions(pred, output_path, id_col, "prediction", text_path)
     return pred
 
 
 def profile_job(df: DataFrame, label: str = "label", approx: bool = False) -> dict[str, DataFrame]:
-    """Class counts, per-class box statistics of the five features, and the
-    description-length clip limit (the tables behind the reference's charts)."""
+    """Class counts, the classes in display order, per-class box statistics of the
+    five features (``box_all``: with a zero row for a class without values), and
+    the description-length clip limit: the tables behind the charts."""
     f = P.profile_features(df, label)
-    return {"counts": P.class_counts(f), "box": P.group_box_stats(f, approx=approx),
+    order, box = P.numeric_first_order(f), P.group_box_stats(f, approx=approx)
+    return {"counts": P.class_counts(f), "order": order, "box": box,
+            "box_all": P.empty_group_zero(box, order, P.BOX_FEATURES),
             "clip_limit": P.global_quantile(f, "len_description", approx=approx)}

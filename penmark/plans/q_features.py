@@ -127,10 +127,10 @@ def q_feature_extraction(spark, sf):
 
 @register("project_features", with_views("recipes_o") + ",\n" + split_sql("recipes_o") + "," + _FEATS_O + f"""
 SELECT recipe_id, {_NORM_SELECT}, round(day_sin, 6) AS day_sin, round(day_cos, 6) AS day_cos
-FROM feats, b WHERE split = 'test'""")
+FROM feats, b""")
 def q_project_features(spark, sf):
     f, _ = feature_extraction(D.stratified_split(recipes_o(spark, sf)))
-    return f.where("split = 'test'").select("recipe_id", *[r6(c).alias(c) for c in FT.ENGINEERED_FEATURES])
+    return f.select("recipe_id", *[r6(c).alias(c) for c in FT.ENGINEERED_FEATURES])
 
 
 @register("filter_class", with_views("recipes_d") + """
@@ -140,7 +140,9 @@ def q_filter_class(spark, sf):
     return d.select("recipe_id", FT.text_length("description").alias("len_description"))
 
 
-_RAW_CELL_SQL = """CASE WHEN event_type = 'click' THEN CAST(value AS VARCHAR)
+_RAW_CELL_SQL = """CASE WHEN event_id % 40 = 0 THEN 'NaN' WHEN event_id % 40 = 1 THEN CAST(value AS VARCHAR) || 'd'
+                        WHEN event_id % 40 = 2 THEN '0x1p3' WHEN event_id % 40 = 3 THEN chr(9) || CAST(value AS VARCHAR) || chr(10)
+                        WHEN event_type = 'click' THEN CAST(value AS VARCHAR)
                         WHEN event_type = 'error' THEN 'x' || CAST(value AS VARCHAR)
                         WHEN event_type = 'view' THEN ' ' || CAST(value AS VARCHAR) || ' '
                         ELSE NULL END"""
@@ -148,20 +150,28 @@ _RAW_CELL_SQL = """CASE WHEN event_type = 'click' THEN CAST(value AS VARCHAR)
 
 def _raw_cell():
     v = F.col("value").cast("string")
-    return (F.when(F.col("event_type") == "click", v)
+    rest = F.col("event_id") % 40
+    return (F.when(rest == 0, F.lit("NaN")).when(rest == 1, F.concat(v, F.lit("d"))).when(rest == 2, F.lit("0x1p3"))
+            .when(rest == 3, F.concat(F.lit("\t"), v, F.lit("\n")))
+            .when(F.col("event_type") == "click", v)
             .when(F.col("event_type") == "error", F.concat(F.lit("x"), v))
             .when(F.col("event_type") == "view", F.concat(F.lit(" "), v, F.lit(" "))))
 
 
+_NUMBER_SQL = f"""CASE WHEN regexp_full_match(trim({_RAW_CELL_SQL}, ' ' || chr(9) || chr(10)),
+                  '[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?')
+                  THEN CAST(trim({_RAW_CELL_SQL}, ' ' || chr(9) || chr(10)) AS DOUBLE) END"""
+
+
 @register("coerce_int_default", f"""
-SELECT event_id, CAST(coalesce(trunc(TRY_CAST({_RAW_CELL_SQL} AS DOUBLE)), 0) AS BIGINT) AS n FROM events""")
+SELECT event_id, CAST(coalesce(trunc({_NUMBER_SQL}), 0) AS BIGINT) AS n FROM events""")
 def q_coerce_int_default(spark, sf):
     e = table(spark, sf, "events")
     return e.select("event_id", C.coerce_int_default(_raw_cell()).alias("n"))
 
 
 @register("coerce_double_default", f"""
-SELECT event_id, round(coalesce(TRY_CAST({_RAW_CELL_SQL} AS DOUBLE), 0.0), 6) AS x FROM events""")
+SELECT event_id, round(coalesce({_NUMBER_SQL}, 0.0), 6) AS x FROM events""")
 def q_coerce_double_default(spark, sf):
     e = table(spark, sf, "events")
     return e.select("event_id", r6(C.coerce_double_default(_raw_cell())).alias("x"))
@@ -223,15 +233,18 @@ def q_argmax_label(spark, sf):
     return e.select("vec_id", FT.argmax("embedding").alias("argmax"))
 
 
+DIMENSIONS = 64
+
+
 @register("explode_probabilities", """
 WITH sm AS (SELECT vec_id, list_transform(e, lambda x: exp(x * 10.0 - list_max(e) * 10.0)) AS ex
-            FROM (SELECT vec_id, CAST(embedding[1:10] AS DOUBLE[]) AS e FROM embeddings)),
+            FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
 pr AS (SELECT vec_id, list_transform(ex, lambda x: x / list_sum(ex)) AS p FROM sm)
-SELECT vec_id, """ + ", ".join(f"round(p[{i + 1}], 6) AS prob_{i}" for i in range(10)) + " FROM pr")
+SELECT vec_id, """ + ", ".join(f"round(p[{i + 1}], 6) AS prob_{i}" for i in range(DIMENSIONS)) + " FROM pr")
 def q_explode_probabilities(spark, sf):
     e = table(spark, sf, "embeddings")
-    labels = [r["label"] for r in D.label_table(e).orderBy("label_idx").collect()]  # class list only
-    z = e.select("vec_id", F.transform(F.slice("embedding", 1, len(labels)), lambda x: x * 10.0).alias("z"))
+    labels = list(range(DIMENSIONS))                  # every value is a class's logit
+    z = e.select("vec_id", F.transform("embedding", lambda x: x * 10.0).alias("z"))
     p = FT.add_softmax(z, "z", "p")
     return p.select("vec_id", *FT.explode_probabilities("p", labels)) \
         .select("vec_id", *[r6(f"prob_{lab}").alias(f"prob_{lab}") for lab in labels])

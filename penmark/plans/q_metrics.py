@@ -21,14 +21,6 @@ MARKS = {"de": "äöüß", "fr": "èêçàù", "es": "ñóáí"}
 LANGS = ["de", "en", "es", "fr"]
 
 
-def marks_spark(col: str = "text"):
-    """Rule-based language guess; the mark counts are plain expressions."""
-    n = {k: F.length(col) - F.length(F.regexp_replace(col, f"[{v}]", "")) for k, v in MARKS.items()}
-    return (F.when((n["de"] > 0) & (n["de"] >= n["fr"]) & (n["de"] >= n["es"]), "de")
-            .when((n["fr"] > 0) & (n["fr"] >= n["es"]), "fr")
-            .when(n["es"] > 0, "es").otherwise("en"))
-
-
 def add_guess(df, col: str = "text", out: str = "prediction"):
     """Adds the guess; counts staged as columns so each regex runs once per row."""
     cnt = {f"_m_{k}": F.length(col) - F.length(F.regexp_replace(col, f"[{v}]", "")) for k, v in MARKS.items()}

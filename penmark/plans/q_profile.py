@@ -53,7 +53,7 @@ def q_group_box_stats(spark, sf):
 
 
 @register("outlier_rows", with_views("recipes_d") + "," + _FEATS_D.format(src="recipes_d") + ","
-          + _LONG.replace("long AS (UNPIVOT f", "long AS (UNPIVOT f", 1) + """
+          + _LONG + """
 SELECT l.recipe_id, l.feature, l.label, round(l.value, 6) AS value
 FROM long l JOIN st2 s ON l.feature = s.feature AND l.label = s.label
 WHERE l.value < s.lo_fence OR l.value > s.hi_fence""")

@@ -32,7 +32,8 @@ PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
                     "nan", "null"]
 DAYFIRST_FORMAT = "d/M/yyyy"
-EXTRA_COL = "_extra"
+#: Spare columns that show a row to be over-long, whichever of its extra cells is filled.
+EXTRA_COLS = [f"_extra{i}" for i in range(64)]
 # Sentinel for Spark's own null token, so empty cells stay '' until our rules run.
 _NO_NULL = "\u0001"
 
@@ -54,17 +55,34 @@ def _read_text_columns(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**CSV_OPTS).option("mode", "FAILFAST").csv(path)
 
 
+def with_row_key(df: DataFrame, id_col: str = "recipe_id") -> DataFrame:
+    """Number the rows in input order where the file has no key: a file with
+    quoted newlines is one partition, read from top to bottom."""
+    return df if id_col in df.columns else df.withColumn(id_col, F.monotonically_increasing_id())
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A multi-line file is one partition: deal its rows out before the costly
+    cell parsing."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def scan_strict(spark: SparkSession, path: str,
-                types: Mapping[str, str] | None = None,
+                types: Mapping[str, str] | None = None, label: str = "label", id_col: str = "recipe_id",
                 date_cols: Sequence[str] = ("data",),
                 list_cols: Sequence[str] = LIST_COLUMNS) -> DataFrame:
     """Typed read; any malformed row, uncastable value, bad date or list fails.
 
     ``types`` maps column → Spark type for the non-text columns (default: the
-    label, id and ingredient count as bigint); other columns stay text.
+    ``label``, id and ingredient count as bigint); other columns stay text.  A
+    file without ``id_col`` gets its rows numbered in file order.
     """
-    types = dict(types or {"label": "bigint", "recipe_id": "bigint", "n_ingredients": "bigint"})
+    types = dict(types or {label: "bigint", id_col: "bigint", "n_ingredients": "bigint"})
     raw = _read_text_columns(spark, path)
+    keyed = id_col not in raw.columns
+    raw = spread(with_row_key(raw, id_col))
+    if keyed:
+        types.pop(id_col, None)
     cols = {}
     for c, t in types.items():
         if c in raw.columns:
@@ -73,7 +91,7 @@ def scan_strict(spark: SparkSession, path: str,
                 F.concat(F.lit(f"bad {t} in {c}: "), F.coalesce(F.col(c), F.lit("NULL")))).cast(t)).otherwise(v)
     for c in date_cols:
         if c in raw.columns:
-            d = F.try_to_timestamp(F.col(c), F.lit(DAYFIRST_FORMAT)).cast("date")
+            d = date_parse_dayfirst(c)
             cols[c] = F.when(F.col(c).isNotNull() & d.isNull(), F.raise_error(
                 F.concat(F.lit(f"bad date in {c}: "), F.col(c))).cast("date")).otherwise(d)
     for c in list_cols:
@@ -90,11 +108,11 @@ def scan_tolerant(spark: SparkSession, path: str,
     (absent list columns become empty lists)."""
     names = [c.strip() for c in _read_text_columns(spark, path).columns]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
-                          + [T.StructField(EXTRA_COL, T.StringType())])
+                          + [T.StructField(n, T.StringType()) for n in EXTRA_COLS])
     df = (spark.read.options(**CSV_OPTS).option("mode", "PERMISSIVE")
           .option("enforceSchema", "true").option("nullValue", _NO_NULL)
           .schema(schema).csv(path))
-    df = df.where(F.col(EXTRA_COL).isNull()).drop(EXTRA_COL)
+    df = spread(df.where(F.coalesce(*EXTRA_COLS).isNull()).drop(*EXTRA_COLS))
     tokens = list(null_tokens)
     df = df.withColumns({n: F.when(F.col(n).isin(*tokens), F.lit(None)).otherwise(F.col(n)) for n in names})
     empty = F.expr("cast(array() as array<string>)")
@@ -124,16 +142,17 @@ def scan_inferred(spark: SparkSession, path: str, label: str = "label") -> DataF
     """Tolerant rows with inferred column types; fails without ``label``."""
     df = scan_tolerant(spark, path, list_cols=())
     if label not in df.columns:
-        raise RuntimeError(f"{label} column not found in the file")
+        raise RuntimeError(f"cannot infer types: no column named {label}")
     text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     types = infer_types(df, text_cols)
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if t != "string"})
 
 
 def stage(df: DataFrame, name: str = "staged", partitions: int | None = None) -> DataFrame:
-    """Write once to Parquet in the shared checkpoint folder and read back."""
+    """Write once to Parquet in the shared checkpoint folder, in as many parts as
+    the session runs tasks at once unless told otherwise, and read back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    out = df.repartition(partitions) if partitions else df
+    out = df.repartition(partitions or spark.sparkContext.defaultParallelism)
     out.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

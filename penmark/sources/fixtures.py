@@ -20,23 +20,8 @@ from pyspark.sql import functions as F
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
 
 
-# Text tables and their row keys.  The given files hold one Parquet row group
-# each, and a scan cannot split a row group: every per-row text step
-# (tokenising, regexes, model scoring) would run in a single task.  Such a
-# table is spread once by its key right after the scan (a hash exchange whose
-# size AQE sets); the exchange moves the rows once and everything after it
-# runs on every core.  Column pruning still reaches the scan, so passes that
-# need only the key and label shuffle only those.  For ``lineitem`` the
-# exchange on the order key is the one the per-order aggregate of
-# ``recipes_o`` needs anyway: the aggregate then runs without a partial step
-# (a partial ``collect_list`` saves nothing) and the outer join reuses it.
-SPREAD_KEYS = {"documents": "doc_id", "lineitem": "l_orderkey"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    key = SPREAD_KEYS.get(name)
-    return df.repartition(key) if key else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def recipes_d(spark: SparkSession, sf_dir: str, label: str = "lang") -> DataFrame:
@@ -47,7 +32,7 @@ def recipes_d(spark: SparkSession, sf_dir: str, label: str = "lang") -> DataFram
     """
     d = table(spark, sf_dir, "documents")
     first_line = F.substring_index("text", "\n", 1)
-    words = F.filter(F.split(first_line, WORD_SPLIT), lambda x: x != "")
+    words = F.filter(F.split("text", WORD_SPLIT), lambda x: x != "")
     lab = (F.col("lang") if label == "lang"
            else F.regexp_extract("source", r"(\d+)", 1).cast("bigint"))
     return d.select(
@@ -105,7 +90,7 @@ recipes_d AS (
          [source] AS tags,
          string_split(text, chr(10)) AS steps,
          list_sort(list_distinct(list_filter(
-             regexp_split_to_array(split_part(text, chr(10), 1), '[^\p{L}\p{N}]+'),
+             regexp_split_to_array(text, '[^\p{L}\p{N}]+'),
              lambda x: x <> ''))) AS ingredients,
          date '2000-01-01' + CAST(doc_id % 3653 AS INTEGER) AS data
   FROM documents)"""

@@ -53,7 +53,7 @@ def test_inferred_scan_types(spark, edge_path):
     types = dict(df.dtypes)
     assert types["label"] == "bigint" and types["n_ingredients"] == "string"
     with pytest.raises(RuntimeError):
-        scan_inferred(spark, edge_path, label="chef_id")
+        scan_inferred(spark, edge_path, label="author")
 
 
 def test_strict_scan_fails_on_bad_rows(spark, edge_path):
