@@ -219,7 +219,7 @@ def test_vptree_exact_and_edges(spark):
     rng = np.random.default_rng(7)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(400)]
     rows += [(400 + i, rows[5][1]) for i in range(60)]        # a common vector: ties by id
-    rows += [(900, None), (905, [0.0] * 6), (910, [float("nan")] * 6), (915, [1.0, None, 0, 0, 0, 0]), (None, [1.0] * 6), rows[0]]
+    rows += [(900, None), (905, [0.0] * 6), (910, [float("nan")] * 6), (915, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (None, [1.0] * 6), rows[0]]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, rank string")
     got = {}
     for r in vptree.search(df, df.where("vec_id % 5 = 0"), shard_rows=90).orderBy("query_id", "rank").collect():
