@@ -150,7 +150,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = 6, batch: int = 64, ra
 def train(docs: DataFrame, max_docs: int = 4000, text_col: str = "text", lang_col: str = "lang") -> ByteCnn | None:
     """Model from texts with a language.  ``max_docs`` bounds the sample on the
     driver: an equal share for each language (at least 50), smallest text hash
-    first; at most 20,000 characters of a sampled training text are fetched."""
+    first."""
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     names = sorted(r[0] for r in rows.select("lang").distinct().collect())
@@ -158,7 +158,7 @@ def train(docs: DataFrame, max_docs: int = 4000, text_col: str = "text", lang_co
     for name in names:
         part = bounded_sample(rows.where(F.col("lang") == name).select("text"), "text",
                               max(50, max_docs // len(names)))
-        got += [(r[0], name) for r in part.select(F.substring("text", 1, 20000)).collect()]
+        got += [(r[0], name) for r in part.collect()]
     return fit([t for t, _ in got], [g for _, g in got])
 
 

@@ -120,7 +120,7 @@ def fit(texts: list[str], grade: np.ndarray, grades: list[float], rounds: int =
     return Ordinal(weights, first + np.concatenate(([0.0], np.cumsum(np.exp(gap)))), grades)
 
 
-def train(docs: DataFrame, ratings: DataFrame, rating: F.Column | str, max_docs: int = 6000,
+def train(docs: DataFrame, ratings: DataFrame, rating: F.Column | str, max_docs: int = 3000,
           id_col: str = "doc_id", text_col: str = "text") -> Ordinal:
     """Model from rated documents.  ``max_docs`` bounds the sample on the
     driver: an equal share for each grade, smallest text hash first.  The

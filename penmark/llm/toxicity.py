@@ -129,7 +129,7 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 200, rate: float = 2.0, e
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, id_col: str = "doc_id",
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic") -> NoisyOr:
     """Model from the documents that have a label.
 
