@@ -201,7 +201,7 @@ def linked(buckets: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFr
     node) would connect.
 
     Each round takes members of each open bucket that were not centres yet (up
-    to 1, then 4, 16, ...) and checks every member of another group against them.  A bucket is done when all its members are one group or all were
+    to 1, then 16, 256, ...) and checks every member of another group against them.  A bucket is done when all its members are one group or all were
     centres, so each pair of a bucket is checked or needless.
     """
     spark = buckets.sparkSession
@@ -230,4 +230,4 @@ def linked(buckets: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFr
         live = cut_lineage(now.join(cut_lineage(open_, "open"), "key", "left_semi"), "live")
         if live.limit(1).count() == 0:
             return found
-        width *= 4
+        width *= 16
