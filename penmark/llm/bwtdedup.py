@@ -226,21 +226,30 @@ _RANGES = "array<struct<a:int,b:int>>"
 _KEY = ["g1", "g2", "d1", "d2"]
 
 
-def solve(frags: DataFrame, length: int = LENGTH, widths: tuple[int, ...] = WIDTHS, bin_bytes: int = BIN_BYTES) -> DataFrame:
-    """(g1, g2, d1, d2, ranges) for distinct fragments (g1, g2 group; d1, d2
-    digest; m copies; data) whose ranges are not empty.
+def sized(shards: DataFrame, size: str) -> DataFrame:
+    """Distinct fragments, without their bytes, with their group's ``group_n``
+    (how many) and ``group_bytes``; written, since several steps follow."""
+    groups = shards.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("group_n"), F.sum(size).alias("group_bytes"))
+    return cut_lineage(shards.join(groups, ["g1", "g2"]), "sized")
+
+
+def lone(shards: DataFrame, size: str) -> DataFrame:
+    """Ranges of groups of one distinct string: its windows occur as often as it
+    has copies, so its bytes are not even needed."""
+    return (shards.where("group_n = 1 and m > 1")
+            .select(*_KEY, F.array(F.struct(F.lit(0).alias("a"), F.col(size).cast("int").alias("b"))).alias("ranges")))
+
+
+def solve(frags: DataFrame, total: int, length: int = LENGTH, widths: tuple[int, ...] = WIDTHS,
+          bin_bytes: int = BIN_BYTES) -> DataFrame:
+    """(g1, g2, d1, d2, ranges) for the distinct fragments (g1, g2 group; d1, d2
+    digest; m copies; group_bytes; data) of groups of two or more whose ranges are
+    not empty.  ``total``: bytes of all groups that fit in a bin.
 
     Rows of a group never need more than a bin: larger groups are split.
     """
-    groups = cut_lineage(frags.groupBy("g1", "g2").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("data")).alias("bytes"), F.sum("m").alias("all")), "groups")
-    # one distinct string: its windows occur as often as it has copies
-    single = (frags.join(groups.where("n = 1 and all > 1").select("g1", "g2"), ["g1", "g2"], "left_semi")
-              .select(*_KEY, F.array(F.struct(F.lit(0).alias("a"), F.length("data").alias("b"))).alias("ranges")))
-    small = groups.where((F.col("n") > 1) & (F.col("bytes") <= bin_bytes))
-    total = small.agg(F.sum("bytes")).first()[0] or 0
     bins = max(1, -(-total // (bin_bytes // 2)))
-    binned = (frags.join(small.select("g1", "g2"), ["g1", "g2"], "left_semi")
+    binned = (frags.where(F.col("group_bytes") <= bin_bytes).select(*_KEY, "m", "data")
               .withColumn("bin", F.pmod(F.xxhash64("g1", "g2"), F.lit(bins))))
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -249,17 +258,25 @@ def solve(frags: DataFrame, length: int = LENGTH, widths: tuple[int, ...] = WIDT
         out["ranges"] = [[{"a": a, "b": b} for a, b in r] for r in found]
         return out[[bool(r) for r in found]]
 
-    done = single.unionByName(binned.groupBy("bin").applyInPandas(
-        merge, f"g1 long, g2 long, d1 long, d2 long, ranges {_RANGES}"))
-    large = groups.where((F.col("n") > 1) & (F.col("bytes") > bin_bytes)).select("g1", "g2")
+    done = binned.groupBy("bin").applyInPandas(merge, f"g1 long, g2 long, d1 long, d2 long, ranges {_RANGES}")
+    large = frags.where(F.col("group_bytes") > bin_bytes)
     if large.limit(1).count() == 0:
         return done
-    parts = cut_lineage(pieces(frags.join(large, ["g1", "g2"], "left_semi"), length, widths[0]), "pieces")
-    distinct = parts.groupBy("p1", "p2", "e1", "e2").agg(F.sum("m").alias("m"), F.first("data").alias("data")).select(
-        F.col("p1").alias("g1"), F.col("p2").alias("g2"), F.col("e1").alias("d1"), F.col("e2").alias("d2"), "m", "data")
-    inner = solve(cut_lineage(distinct, "distinct"), length, widths[1:], bin_bytes).select(
+    parts = cut_lineage(pieces(large, length, widths[0]), "pieces")
+    distinct = parts.groupBy("p1", "p2", "e1", "e2").agg(F.sum("m").alias("m"), F.max("n").alias("n"))
+    each = sized(distinct.select(F.col("p1").alias("g1"), F.col("p2").alias("g2"), F.col("e1").alias("d1"),
+                                 F.col("e2").alias("d2"), "m", "n"), "n")
+    inner = lone(each, "n")
+    many = each.where("group_n > 1")
+    fit = many.where(F.col("group_bytes") <= bin_bytes).agg(F.sum("n")).first()[0]
+    if fit is not None or many.limit(1).count():
+        bytes_of = parts.groupBy("p1", "p2", "e1", "e2").agg(F.first("data").alias("data"))
+        data = many.join(bytes_of, (F.col("g1") == F.col("p1")) & (F.col("g2") == F.col("p2"))
+                         & (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2"))).drop("p1", "p2", "e1", "e2")
+        inner = inner.unionByName(solve(cut_lineage(data, "distinct"), fit or 0, length, widths[1:], bin_bytes))
+    inner = inner.select(
         F.col("g1").alias("p1"), F.col("g2").alias("p2"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), "ranges")
-    back = (parts.drop("data", "m").join(inner, ["p1", "p2", "e1", "e2"])
+    back = (parts.drop("data", "m", "n").join(inner, ["p1", "p2", "e1", "e2"])
             .select(*_KEY, "off", F.explode("ranges").alias("r"))
             .groupBy(*_KEY).agg(F.collect_list(F.struct((F.col("r.a") + F.col("off")).alias("a"),
                                                         (F.col("r.b") + F.col("off")).alias("b"))).alias("ranges")))
@@ -276,7 +293,7 @@ def pieces(frags: DataFrame, length: int, width: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["g1", "g2", "d1", "d2", "m", "off", "p1", "p2", "e1", "e2", "data"]
+        names = ["g1", "g2", "d1", "d2", "m", "off", "n", "p1", "p2", "e1", "e2", "data"]
         for b in batches:
             rows = []
             for r in b.to_pylist():
@@ -293,14 +310,14 @@ def pieces(frags: DataFrame, length: int, width: int) -> DataFrame:
                     p = np.frombuffer(xxhash.xxh3_128_digest(
                         f"{r['g1']},{r['g2']},{at - end},".encode() + data[end:begin + length]), np.int64).tolist()
                     e = np.frombuffer(xxhash.xxh3_128_digest(piece), np.int64).tolist()
-                    rows.append((r["g1"], r["g2"], r["d1"], r["d2"], r["m"], lo, *p, *e, piece))
+                    rows.append((r["g1"], r["g2"], r["d1"], r["d2"], r["m"], lo, len(piece), *p, *e, piece))
                 if len(rows) >= 10_000:
                     yield _batch(rows, names)
                     rows = []
             yield _batch(rows, names)
 
     return frags.select("g1", "g2", "d1", "d2", "m", "data").mapInArrow(
-        run, "g1 long, g2 long, d1 long, d2 long, m long, off int, p1 long, p2 long, e1 long, e2 long, data binary")
+        run, "g1 long, g2 long, d1 long, d2 long, m long, off int, n long, p1 long, p2 long, e1 long, e2 long, data binary")
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -315,30 +332,35 @@ def spans(docs: DataFrame, length: int = LENGTH, bin_bytes: int = BIN_BYTES) ->
     occ = cut_lineage(occurrences(docs, length), "fragments")
     twice = occ.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
     again = cut_lineage(occ.join(twice, "g"), "again")
-    shards = (again.groupBy("g", "d1", "d2")
+    shards = (again.groupBy(F.col("g").alias("g1"), F.lit(0).cast("long").alias("g2"), "d1", "d2")
               .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("__pm_h", "__pm_id", "start", "n")).alias("rep")))
-    reps = (shards.select("rep.__pm_id", "rep.__pm_h", F.struct("g", "d1", "d2", "m", "rep.start", "rep.n").alias("f"))
+    shards = sized(shards, "rep.n")
+    many = shards.where("group_n > 1")
+    reps = (many.select("rep.__pm_id", "rep.__pm_h", F.struct("g1", "g2", "d1", "d2", "m", "group_bytes", "rep.start", "rep.n").alias("f"))
             .groupBy("__pm_id", "__pm_h").agg(F.collect_list("f").alias("fs")))
+    # these sides grow with the documents: joined by shuffle at every size, never broadcast while small
     keys = cut_lineage(again.select("__pm_id", "__pm_h").distinct(), "keys")
     candidates = cut_lineage(docs.select("doc_id", "text", *row_key())
-                             .join(keys, ["__pm_id", "__pm_h"], "left_semi"), "candidates")
+                             .join(keys.hint("merge"), ["__pm_id", "__pm_h"], "left_semi"), "candidates")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["g1", "g2", "d1", "d2", "m", "data"]
+        names = ["g1", "g2", "d1", "d2", "m", "group_bytes", "data"]
         for b in batches:
             rows = []
             for t, fs in zip(b.column(0), b.column(1)):
                 data = t.as_buffer().to_pybytes()
-                rows += [(f["g"], 0, f["d1"], f["d2"], f["m"], data[f["start"]:f["start"] + f["n"]]) for f in fs.as_py()]
+                rows += [(*(f[k] for k in names[:-1]), data[f["start"]:f["start"] + f["n"]]) for f in fs.as_py()]
                 if len(rows) >= 10_000:
                     yield _batch(rows, names)
                     rows = []
             yield _batch(rows, names)
 
-    one = candidates.join(reps, ["__pm_id", "__pm_h"])
+    one = candidates.join(reps.hint("merge"), ["__pm_id", "__pm_h"])
     frags = cut_lineage(one.select("text", "fs").mapInArrow(
-        fetch, "g1 long, g2 long, d1 long, d2 long, m long, data binary"), "shards")
-    found = solve(frags, length, bin_bytes=bin_bytes).select(F.col("g1").alias("g"), "d1", "d2", "ranges")
+        fetch, "g1 long, g2 long, d1 long, d2 long, m long, group_bytes long, data binary"), "shards")
+    total = many.where(F.col("group_bytes") <= bin_bytes).agg(F.sum("rep.n")).first()[0] or 0
+    found = lone(shards, "rep.n").unionByName(solve(frags, total, length, bin_bytes=bin_bytes))
+    found = found.select(F.col("g1").alias("g"), "d1", "d2", "ranges")
     ranges = (again.join(found, ["g", "d1", "d2"])
               .select("__pm_id", "__pm_h", "start", F.explode("ranges").alias("r"))
               .groupBy("__pm_id", "__pm_h")
@@ -386,7 +408,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, bin_bytes: int = BIN_BYTES) ->
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    some = candidates.join(ranges, ["__pm_id", "__pm_h"], "left").select("doc_id", "text", "ranges").mapInArrow(cut, schema)
+    some = candidates.join(ranges.hint("merge"), ["__pm_id", "__pm_h"], "left").select("doc_id", "text", "ranges").mapInArrow(cut, schema)
     text = F.coalesce(F.col("text"), F.lit(""))
     none = (docs.select("doc_id", *row_key(), F.octet_length(text).cast("long").alias("n_bytes"),
                         F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
