@@ -146,7 +146,8 @@ def signatures(docs: DataFrame, k: int = K, slots: int = SLOTS, rows: int = ROWS
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach ``percent``: intersection
     against union, in whole numbers.  Texts travel, not sets: they are smaller."""
-    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    # pairs grow with the documents: joined by shuffle at every size
+    left = pairs.hint("merge").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +185,7 @@ def groups(docs: DataFrame, percent: int = PERCENT, k: int = K, slots: int = SLO
     buckets = cut_lineage(keyed.join(shared, "key"), "buckets")
     texts = docs.where(F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "node")
     # only documents of a shared bucket are ever checked
-    texts = texts.join(buckets.select("node").distinct(), "node", "left_semi")
+    texts = texts.join(buckets.select("node").distinct().hint("merge"), "node", "left_semi")
     same_id = member.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     links = linked(buckets, cut_lineage(texts, "candidates"), percent, k)
     comp = components(links.unionByName(same_id))
