@@ -6,7 +6,7 @@ chunk is one WARC record; a longer one is a segmented record: the first chunk
 is the response, the others are ``continuation`` records with
 ``WARC-Segment-Number``.  Archives are written by Spark's text writer, one
 record per row, and read back with what stands between two records as the row
-separator, so files split at any size.  A payload that holds that separator is
+separator.  A payload that holds that separator is
 cut inside it, into two segments.
 
 Defined results: a null payload is empty; a null id is written as an empty
@@ -107,9 +107,9 @@ def _record(head: dict, block) -> bytes:
 
 
 def write(records: DataFrame, path: str) -> str:
-    """Records as text parts under ``path``; each part is a WARC file."""
+    """Records as gzip text parts under ``path``; each part is a WARC file."""
     # the writer puts the bytes of a string as they are
-    records.select(F.col("value").cast("string").alias("value")).write.option("lineSep", END).text(path)
+    records.select(F.col("value").cast("string").alias("value")).write.option("lineSep", END).text(path, compression="gzip")
     return path
 
 
@@ -144,41 +144,57 @@ _READ = ("page_id string, row long, segment int, segments int, type string, refe
 _ARROW = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
 
 
+_DONE = "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"
+_DONE_ARROW = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+_DONE_NAMES = [f.split()[0] for f in _DONE.split(", ")]
+
+
 def digests(records: DataFrame) -> DataFrame:
     """One row per payload: its bytes and SHA-1 from the stream of its chunks.
 
-    Records of one segment are digested where they are read; only the chunks of
-    longer ones are sorted by (row, segment) and run through one digest, which
-    holds a chunk at a time.  The digest must equal the one in the header.
+    Records of one segment are digested where they are read and go on without
+    their bytes; the chunks of longer ones are sorted by (row, segment) and run
+    through one digest, which holds a chunk at a time.  The digest must equal
+    the one in the header.
     """
+    names = [f.split()[0] for f in _READ.split(", ")]
+
+    def check(size: int, digest: str, r: dict) -> None:
+        if (size, digest) != (r["payload_bytes"], r["digest"]):
+            raise ValueError(f"payload of page {r['page_id']} differs from its digest")
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.to_pylist()
+            for r in rows:
+                if r["segments"] == 1:
+                    if r["type"] != "revisit":
+                        check(len(r["block"]), hashlib.sha1(r["block"]).hexdigest(), r)
+                    r["block"] = None
+            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in zip(names, _ARROW)], names=names)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, sha, size = None, None, 0
         for b in batches:
             out = []
             for r in b.to_pylist():
-                if r["segment"] == 1:
-                    now, sha, size = r["row"], hashlib.sha1(), 0
-                if r["row"] != now:
-                    raise ValueError(f"segments of row {r['row']} are not whole")
-                sha.update(r["block"])
-                size += len(r["block"])
-                if r["type"] == "revisit":
-                    out.append((r["page_id"], r["payload_bytes"], r["digest"], "revisit", r["refers_to"]))
-                elif r["segment"] == r["segments"]:
-                    if (size, sha.hexdigest()) != (r["payload_bytes"], r["digest"]):
-                        raise ValueError(f"payload of page {r['page_id']} differs from its digest")
-                    out.append((r["page_id"], size, sha.hexdigest(), "response", None))
+                if r["segments"] > 1:
+                    if r["segment"] == 1:
+                        now, sha, size = r["row"], hashlib.sha1(), 0
+                    if r["row"] != now:
+                        raise ValueError(f"segments of row {r['row']} are not whole")
+                    sha.update(r["block"])
+                    size += len(r["block"])
+                    if r["segment"] < r["segments"]:
+                        continue
+                    check(size, sha.hexdigest(), r)
+                kind = "revisit" if r["type"] == "revisit" else "response"
+                out.append((r["page_id"], r["payload_bytes"], r["digest"], kind, r["refers_to"]))
             cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()])],
-                names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-
-    out = "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"
-    single = records.where("segments = 1").mapInArrow(stream, out)
-    long = (records.where("segments > 1").repartition("row").sortWithinPartitions("row", "segment")
-            .mapInArrow(stream, out))
-    return single.unionByName(long)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _DONE_ARROW)], names=_DONE_NAMES)
+
+    return (records.mapInArrow(whole, _READ).repartition("row").sortWithinPartitions("row", "segment")
+            .mapInArrow(stream, _DONE))
 
 
 def archive(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url",
