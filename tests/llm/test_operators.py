@@ -13,6 +13,8 @@ from penmark.llm import bwtdedup, bytecnn, chunkdedup, decontam, minhash, ordina
 from penmark.llm.queries import QUERIES, tokenizer_paths
 from tests.conftest import SF_MID, SF_SMALL
 
+SF_LARGE = "/root/testdata/sf0.1"
+
 WORDS = "aa be the of and xin qué zu mor lan ti reh ost vin dul kar".split()
 
 
@@ -352,6 +354,55 @@ def test_decontamination_finds_every_verbatim_item(spark):
     assert want and want <= got and len(got) <= 1.2 * len(want)
 
 
+def test_decontamination_recall_of_planted_items(spark):
+    """Every planted item that the overlap and the subsequence rule accept is
+    found, verbatim or with half of its question changed."""
+    rng = random.Random(13)
+    docs = spark.read.parquet(f"{SF_LARGE}/documents.parquet").select("doc_id", "text")
+    bench = spark.read.parquet(f"{SF_LARGE}/benchmark.parquet")
+    base, texts = docs.collect(), sorted((r.item_id, r.text) for r in bench.collect())
+    hosts = rng.sample([r for r in base if len(r.text or "") > 2000], 3 * len(texts))
+    words, planted = [w for r in hosts for w in r.text.split()], {}
+    for k, (item, text) in enumerate(texts * 3):
+        part = text.split()
+        # the last third stays: it holds the answer
+        for j in range(2 * len(part) // 3):
+            if k >= len(texts) and rng.random() < 0.5:
+                part[j] = rng.choice(words)
+        host = hosts[k].text.split()
+        at = rng.randrange(len(host))
+        planted[hosts[k].doc_id] = (item, " ".join(host[:at] + part + host[at:]))
+    changed = spark.createDataFrame([(d, t) for d, (_, t) in planted.items()], docs.schema)
+    docs = docs.where(~F.col("doc_id").isin(list(planted))).unionByName(changed)
+    got = {(r.doc_id, r.item_id) for r in decontam.find(docs, bench).collect()}
+
+    items = decontam.Items(texts)
+    find = decontam.WORD.findall
+    seen, n = Counter(), 0
+    for text in [r.text for r in base if r.doc_id not in planted] + [t for _, t in planted.values()]:
+        ids = [items.vocab.get(w, -1) for w in find((text or "").lower())]
+        for lo in range(0, len(ids), decontam.WORDS):
+            seen.update(set(ids[lo:lo + decontam.WORDS]))
+            n += 1
+    idf = np.log((1 + n) / (1 + np.array([seen[w] for w in range(len(items.vocab))]))) + 0.02
+    squared = items.weights(idf) ** 2
+    want = set()
+    for d, (item, text) in planted.items():
+        ids = np.array([items.vocab.get(w, -1) for w in find(text.lower())])
+        i = items.ids.index(item)
+        mine = [squared[r] for r, (o, _) in enumerate(items.passages) if o == i]
+        for at in range(0, len(ids), decontam.BLOCK):
+            held = np.unique(ids[at:at + decontam.WORDS])
+            held = held[held >= 0]
+            # a hair over the limits: sums differ in their last digits
+            if max(q[held].sum() for q in mine) > decontam.OVERLAP + 1e-4 and decontam.confirm(
+                    ids, at, items.words[i], items.answers[i], idf * (1 + 1e-9))[2]:
+                want.add((d, item))
+    verbatim = {(hosts[k].doc_id, item) for k, (item, _) in enumerate(texts)}
+    assert verbatim <= want and len(want) > 1.5 * len(verbatim)
+    assert want <= got, f"{len(want - got)} of {len(want)} missed"
+
+
 def test_common_subsequence():
     a, b = np.array([1, 2, 3, 4, 5]), np.array([9, 1, 3, 2, 4, 9])
     used = decontam.common_subsequence(a, b, np.array([1.0, 5.0, 1.0, 1.0, 1.0]))
