@@ -24,16 +24,18 @@ from pyspark.sql import types as T
 
 from penmark.llm.common import by_bytes, mix64, numbered
 
-#: The gear hash of a position depends on its last 32 bytes.
-REACH = 32
+#: The gear hash of a position depends on its last 16 bytes: what a repeated
+#: passage loses before its first boundary grows with the reach.
+REACH = 16
 GEAR = (mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
-AVERAGE_BITS = 5
-LEAST, MOST = 24, 256
+#: Chunks of 31 bytes or so: several fit in the shortest run that is cut.
+AVERAGE_BITS = 4
+LEAST, MOST = 16, 256
 MIN_RUN = 120
 
 
 def gear(data: np.ndarray) -> np.ndarray:
-    """h[i] = sum over j < 32 of GEAR[data[i-j]] << j, by doubling the reach."""
+    """h[i] = sum over j < REACH of GEAR[data[i-j]] << j, by doubling the reach."""
     h = GEAR[data]
     reach = 1
     while reach < REACH:

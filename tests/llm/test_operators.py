@@ -197,6 +197,31 @@ def test_chunk_dedup_rule_by_brute_force(spark):
     assert got == want and sum(want.values()) > 0
 
 
+def test_chunk_dedup_finds_short_passages(spark):
+    """Passages of 51 words of the given documents, shared by two documents."""
+    rng = random.Random(14)
+    source = [r.text.split() for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect() if r.text]
+    source = [w for w in source if len(w) > 100]
+    passages, texts, seen = [], [], set()
+    while len(passages) < 400:
+        w = rng.choice(source)
+        at = rng.randrange(len(w) - 51)
+        words = w[at:at + 51]
+        # distinct words, none of them in another passage's place
+        if len(set(words)) < 30 or " ".join(words[:8]) in seen or len(" ".join(words).encode()) < 300:
+            continue
+        seen.update(" ".join(words[j:j + 8]) for j in range(44))
+        passages.append(" ".join(words))
+    for p in passages:
+        for _ in range(2):
+            texts.append(" ".join([*("%08x" % rng.getrandbits(32) for _ in range(rng.randint(9, 30))), p,
+                                   *("%08x" % rng.getrandbits(32) for _ in range(20))]))
+    out = {r["doc_id"]: r for r in chunkdedup.dedup(frame(spark, texts)).collect()}
+    found = [out[2 * k]["__pm_removed"] + out[2 * k + 1]["__pm_removed"] for k in range(len(passages))]
+    assert sum(f > 0 for f in found) == len(passages), f"{sum(f == 0 for f in found)} not found"
+    assert np.mean([f / len(p.encode()) for f, p in zip(found, passages)]) > 0.75
+
+
 def test_chunks_are_whole():
     rng = random.Random(6)
     data = prose(rng, 3000).encode()
