@@ -501,3 +501,13 @@ def test_pipeline_stages(spark):
     packed = P.STAGES[-1][1](spark, docs, SF_SMALL).collect()
     check_packing(packed, [(r.doc_id, r.text) for r in docs.collect()], 2048)
     assert [n for n, _ in P.STAGES] == ["toxicity", "near_duplicates", "repeated_substrings", "decontamination", "packing"]
+
+
+def test_near_duplicate_stage_judges_texts_not_ids(spark):
+    import corpus_pipeline as P
+    rng = random.Random(15)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [(1, a), (1, b), (2, b), (3, c), (None, c), (None, d), (None, d), (None, None), (None, None), (4, ""), (4, ""), (4, None), (5, a)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, lang string")
+    got = Counter((r.doc_id, r.text) for r in P.keep_one_of_each_group(spark, docs, SF_SMALL).collect())
+    assert got == Counter([(1, a), (1, b), (3, c), (None, d), (None, None), (None, None), (4, ""), (4, None)])
