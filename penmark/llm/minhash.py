@@ -156,8 +156,10 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, k: int
             ok = []
             a, b, ta, tb = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "ta", "tb"))
             for i in range(batch.num_rows):
-                if last is None or a[i].as_py() != last:
-                    last, kept = a[i].as_py(), shingles(ta[i].as_py(), k)
+                # an id whose rows hold different texts comes with each of them
+                if last is None or (a[i].as_py(), ta[i].as_py()) != last:
+                    last = a[i].as_py(), ta[i].as_py()
+                    kept = shingles(last[1], k)
                 y = shingles(tb[i].as_py(), k)
                 if 100 * min(len(kept), len(y)) < percent * max(len(kept), len(y)):
                     ok.append(False)

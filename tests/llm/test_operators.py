@@ -329,6 +329,15 @@ def test_near_duplicates_and_edges(spark):
     assert minhash.groups(empty(spark)).count() == 0
 
 
+def test_links_of_every_text_of_an_id(spark):
+    rng = random.Random(16)
+    own = [prose(rng, 40) for _ in range(4)]
+    texts = [(1, t) for t in own] + [(10 + k, own[k % 4]) for k in range(12)]
+    pairs = spark.createDataFrame([(1, 10 + k) for k in range(12)], "a long, b long")
+    got = minhash.verified(pairs, spark.createDataFrame(texts, "node long, text string")).distinct().collect()
+    assert {(r.a, r.b) for r in got} == {(1, 10 + k) for k in range(12)}
+
+
 def test_superminhash_estimates():
     rng = np.random.default_rng(9)
     err = []
