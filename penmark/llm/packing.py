@@ -115,9 +115,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
         while left:
             room = min((r for r in free if r >= length), default=None)
             if room is None:
-                # as many new sequences as the rest needs if each takes all it can of this length
-                each = capacity // length
-                n = -(-left // each)
+                # as many new sequences as the rest fills with all each can take of this
+                # length; what is over then opens one more
+                n = max(1, left // (capacity // length))
                 first, sequences = sequences, sequences + n
                 free.setdefault(capacity, []).append([first, n])
                 continue

@@ -158,6 +158,23 @@ def test_packing_round_trip(spark):
     assert packing.pack(packing.pieces(empty(spark), *tokenizer_paths())).count() == 0
 
 
+def test_packing_fills_each_sequence_first():
+    def sequences(histogram):
+        return max(first + to - at for _, at, to, first, _ in packing.plan(histogram, 2048))
+    assert sequences({600: 4, 480: 3}) == 2
+    rng = random.Random(17)
+    for _ in range(200):
+        h = {rng.randint(1, 2048): rng.randint(1, 9) for _ in range(rng.randint(1, 30))}
+        free = []                                            # best-fit decreasing, a piece at a time
+        for n in sorted((n for n, c in h.items() for _ in range(c)), reverse=True):
+            k = min((k for k, f in enumerate(free) if f >= n), key=lambda k: free[k], default=None)
+            if k is None:
+                free.append(2048 - n)
+            else:
+                free[k] -= n
+        assert sequences(h) == len(free)
+
+
 def test_packing_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     check_packing(QUERIES["op4_bestfit_packing"](spark, SF_SMALL).collect(), docs, 2048)
