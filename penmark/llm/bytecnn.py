@@ -149,8 +149,8 @@ def fit(texts: list[str], langs: list[str], epochs: int = 6, batch: int = 64, ra
 
 def train(docs: DataFrame, max_docs: int = 4000, text_col: str = "text", lang_col: str = "lang") -> ByteCnn | None:
     """Model from texts with a language.  ``max_docs`` bounds the sample on the
-    driver: an equal share for each language (at least 50), smallest text hash
-    first."""
+    driver: an equal share for each language (at least 50), distinct texts,
+    smallest hash first; of each, ``fit`` reads ``per_text`` (3) random windows."""
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     names = sorted(r[0] for r in rows.select("lang").distinct().collect())

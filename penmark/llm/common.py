@@ -46,9 +46,13 @@ def held_out(col: str, mod: int, rest: int) -> Column:
 
 
 def bounded_sample(df: DataFrame, text_col: str, n: int) -> DataFrame:
-    """At most ``n`` rows, those with the smallest hash of the text: the same
-    rows however the input is partitioned."""
-    return df.orderBy(F.xxhash64(F.lit(7), F.col(text_col)), text_col).limit(n)
+    """At most ``n`` rows of distinct texts, those with the smallest hash: the
+    same texts however the input is partitioned and however often it repeats one.
+
+    Hashes alone give the limit, so only texts up to it are compared."""
+    h = F.xxhash64(F.lit(7), F.col(text_col))
+    last = df.select(h.alias("h")).distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    return df.where(h <= F.lit(last)).dropDuplicates([text_col]).orderBy(h, text_col).limit(n)
 
 
 def by_bytes(texts, limit: int = STEP_BYTES):

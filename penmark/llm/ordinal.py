@@ -123,7 +123,7 @@ def fit(texts: list[str], grade: np.ndarray, grades: list[float], rounds: int =
 def train(docs: DataFrame, ratings: DataFrame, rating: F.Column | str, max_docs: int = 3000,
           id_col: str = "doc_id", text_col: str = "text") -> Ordinal:
     """Model from rated documents.  ``max_docs`` bounds the sample on the
-    driver: an equal share for each grade, smallest text hash first.  The
+    driver: an equal share for each grade, distinct texts, smallest hash first.  The
     number of grades is taken to be small (it is the rating scale)."""
     rate = F.col(rating) if isinstance(rating, str) else rating
     lab = (ratings.select(F.col(id_col).alias("__pm_id"), rate.cast("double").alias("__pm_y"))

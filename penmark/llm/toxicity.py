@@ -134,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, id_col: str
     """Model from the documents that have a label.
 
     ``max_docs`` bounds the sample that reaches the driver: half of it for each
-    label, the rows with the smallest text hash.
+    label, the distinct texts with the smallest hash.
     """
     lab = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
            .groupBy(F.col(id_col).alias("__pm_id")).agg(F.max(F.col(label_col)).cast("int").alias("__pm_y")))

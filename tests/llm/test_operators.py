@@ -59,6 +59,17 @@ def test_toxicity_edges(spark):
     assert max(r["toxicity"]["score"] for r in toxicity.score(df, none).collect()) < 1e-9
 
 
+def test_training_sample_takes_a_text_once(spark):
+    from penmark.llm.common import bounded_sample
+    texts = [f"text {k}" for k in range(50)]
+    df = spark.createDataFrame([(t,) for t in texts for _ in range(40)], "text string").repartition(5)
+    assert bounded_sample(df.limit(0), "text", 5).count() == 0
+    got = [r.text for r in bounded_sample(df, "text", 30).collect()]
+    assert len(got) == len(set(got)) == 30
+    assert got == [r.text for r in bounded_sample(df.distinct(), "text", 30).collect()]
+    assert bounded_sample(df, "text", 99).count() == 50
+
+
 # ---------------------------------------------------------------- quality
 
 def test_ordinal_orders_grades():
