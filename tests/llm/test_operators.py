@@ -548,3 +548,62 @@ def test_near_duplicate_stage_judges_texts_not_ids(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, lang string")
     got = Counter((r.doc_id, r.text) for r in P.keep_one_of_each_group(spark, docs, SF_SMALL).collect())
     assert got == Counter([(1, a), (1, b), (3, c), (None, d), (None, None), (None, None), (4, ""), (4, None)])
+
+
+def brute_toxic(text, model):
+    import re
+    none = 1.0
+    for sentence in re.split(r"[.!?\n]+", (text or "").lower()):
+        words = re.findall(r"[^\W\d_]+", sentence)
+        if words:
+            z = sum(float(model.weights[i]) for w in words for i in toxicity.buckets(w)) + model.bias
+            none *= 1 - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    return 1 - none
+
+
+def brute_leaks(rows, bench):
+    """Documents of which a sliding passage is accepted for some item."""
+    items = decontam.Items(bench)
+    ids = [np.array([items.vocab.get(w, -1) for w in decontam.WORD.findall((t or "").lower())], np.int32) for _, t in rows]
+    seen, n = Counter(), 0
+    for x in ids:
+        for lo in range(0, len(x), decontam.WORDS):
+            seen.update(set(x[lo:lo + decontam.WORDS].tolist()))
+            n += 1
+    idf = np.log((1 + n) / (1 + np.array([seen[w] for w in range(len(items.vocab))]))) + 0.02
+    squared, out = items.weights(idf) ** 2, set()
+    for (d, _), x in zip(rows, ids):
+        for at in range(0, len(x), decontam.BLOCK):
+            held = np.unique(x[at:at + decontam.WORDS])
+            for p in np.flatnonzero(squared[:, held[held >= 0]].sum(1) >= decontam.OVERLAP):
+                i = items.passages[p][0]
+                if d not in out and decontam.confirm(x, at, items.words[i], items.answers[i], idf)[2]:
+                    out.add(d)
+    return out
+
+
+def test_pipeline_stages_keep_what_brute_force_keeps(spark):
+    import corpus_pipeline as P
+    from penmark.llm.queries import toxicity_model
+    from penmark.session import cut_lineage
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = toxicity_model(spark, SF_SMALL)
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    dropped = {}
+    for name, stage in P.STAGES[:-1]:
+        rows = [(r.doc_id, r.text) for r in docs.collect()]
+        out = cut_lineage(stage(spark, docs, SF_SMALL), name)
+        if name == "toxicity":
+            want = {i for i, t in rows if brute_toxic(t, model) < toxicity.THRESHOLD}
+        elif name == "near_duplicates":
+            want = {i for i, _, top in brute_groups(rows) if i == top}
+        elif name == "repeated_substrings":
+            want = {i for i, _ in rows}
+        else:
+            want = {i for i, _ in rows} - brute_leaks(rows, bench)
+        got = [r.doc_id for r in out.collect()]
+        assert sorted(got) == sorted(want), name
+        dropped[name] = len(rows) - len(got)
+        docs = out
+    print(dropped)
+    assert dropped["near_duplicates"] > 0 and dropped["decontamination"] > 0
