@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penmark.llm import bwtdedup, bytecnn, chunkdedup, decontam, minhash, ordinal, packing, toxicity, vptree, warc
+from penmark.llm import bwtdedup, bytecnn, chunkdedup, decontam, hardneg, minhash, ordinal, packing, toxicity, vptree, warc
 from penmark.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,24 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bwt_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwtdedup.dedup(read(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op11_rns_hard_negatives", """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END label,
+                  [floor(256 * x::DOUBLE)::BIGINT for x in embedding] c
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id anchor_id, b.vec_id vec_id, a.label = b.label same,
+             list_sum([x[1] * x[2] for x in list_zip(a.c, b.c)])::BIGINT score
+      FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id positive_id, score positive_score
+      FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) r FROM s WHERE same) WHERE r <= 5),
+n AS (SELECT p.*, s.vec_id negative_id, s.score negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) r
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+       AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, r::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 3""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(e.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
