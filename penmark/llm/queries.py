@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penmark.llm import bwtdedup, bytecnn, chunkdedup, decontam, hardneg, minhash, ordinal, packing, toxicity, vptree, warc
+from penmark.llm import bwtdedup, bytecnn, chunkdedup, decontam, hardneg, minhash, ordinal, packing, setm, toxicity, urlrules, vptree, warc
 from penmark.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,38 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hardneg.mine(e.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query("op12_setm_phrases", r"""
+WITH p AS (SELECT coalesce(lang, 'und') lang,
+                  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[.,;:!?\x0A-\x0D]')) piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') ws FROM p),
+t AS (SELECT lang, sum(len(ws))::BIGINT n FROM w GROUP BY 1),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') ph, count(*) f
+      FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) i FROM w CROSS JOIN (VALUES (1), (2), (3)) ks(k) WHERE len(ws) >= k)
+      GROUP BY 1, 2, 3),
+c AS (SELECT lang, k, ph, f a, string_split(ph, ' ') ws FROM g WHERE k > 1 AND f >= 10),
+u AS (SELECT c.*, cut, x.f l, y.f r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT score
+      FROM (SELECT *, unnest(range(1, k)) cut FROM c) c
+      JOIN g x ON x.lang = c.lang AND x.k = cut AND x.ph = array_to_string(c.ws[1:cut], ' ')
+      JOIN g y ON y.lang = c.lang AND y.k = c.k - cut AND y.ph = array_to_string(c.ws[cut + 1:c.k], ' ')),
+m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, cut) o FROM u) WHERE o = 1),
+h AS (SELECT lang, part, max(a) held FROM (
+        SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) part FROM c WHERE k = 3) GROUP BY 1, 2),
+d AS (SELECT m.* FROM m LEFT JOIN h ON h.lang = m.lang AND h.part = m.ph AND m.k = 2 WHERE held IS NULL OR 100 * held < 50 * a)
+SELECT lang, rank, ph AS phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, ph) AS rank FROM d) JOIN t USING (lang)
+WHERE rank <= 2000""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setm.mine(read(spark, sf_dir, "documents").select("text", "lang"))
+
+
+#: The given URL rules (host, path, verdict).
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query("op13_url_rules")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judge(read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).withColumn("mined", F.array_join("mined", " "))
