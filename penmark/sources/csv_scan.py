@@ -9,10 +9,9 @@ Three ways in, as the reference has them:
 * ``scan_inferred`` — the tolerant rows with column types inferred by one
   aggregate pass; fails when the label column is absent.
 
-Quoted cells may hold the separator, doubled quotes and newlines, so the
-reader runs with ``multiLine``; such files cannot be split, so ``stage``
-writes the parsed rows to Parquet in the shared checkpoint folder once and
-every later stage reads that (splittable, column-pruned, lineage cut).
+Quoted cells may hold the separator, doubled quotes and newlines; files are
+still read in parallel byte ranges (``ranged_csv``), which leaves the cells as
+Parquet in the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -26,17 +25,13 @@ from pyspark.sql import types as T
 from penmark.functions.features import LIST_COLUMNS, date_parse_dayfirst
 from penmark.functions.lists import parse_list_strict, parse_list_tolerant, to_list_literal
 from penmark.session import scratch_path
+from penmark.sources.ranged_csv import read_rows
 
 # Cell texts pandas reads as missing by default.
 PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
                     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
                     "nan", "null"]
 DAYFIRST_FORMAT = "d/M/yyyy"
-#: Spare columns that show a row to be over-long, whichever of its extra cells is filled.
-EXTRA_COLS = [f"_extra{i}" for i in range(64)]
-# Sentinel for Spark's own null token, so empty cells stay '' until our rules run.
-_NO_NULL = "\u0001"
-
 CSV_OPTS = {"sep": ";", "header": "true", "quote": '"', "escape": '"', "multiLine": "true",
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -51,20 +46,14 @@ def write_recipes_csv(df: DataFrame, path: str, list_cols: Sequence[str] = LIST_
     return path
 
 
-def _read_text_columns(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.options(**CSV_OPTS).option("mode", "FAILFAST").csv(path)
-
-
-def with_row_key(df: DataFrame, id_col: str = "recipe_id") -> DataFrame:
-    """Number the rows in input order where the file has no key: a file with
-    quoted newlines is one partition, read from top to bottom."""
-    return df if id_col in df.columns else df.withColumn(id_col, F.monotonically_increasing_id())
+def header_names(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the first file."""
+    return spark.read.options(**CSV_OPTS).csv(path).columns
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A multi-line file is one partition: deal its rows out before the costly
-    cell parsing."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def with_row_key(df: DataFrame, names: Sequence[str], id_col: str) -> DataFrame:
+    """Number the rows in file order where the file has no key."""
+    return df if id_col in names else df.withColumn(id_col, F.col("__pm_row") - 1)
 
 
 def scan_strict(spark: SparkSession, path: str,
@@ -78,10 +67,13 @@ def scan_strict(spark: SparkSession, path: str,
     file without ``id_col`` gets its rows numbered in file order.
     """
     types = dict(types or {label: "bigint", id_col: "bigint", "n_ingredients": "bigint"})
-    raw = _read_text_columns(spark, path)
-    keyed = id_col not in raw.columns
-    raw = spread(with_row_key(raw, id_col))
-    if keyed:
+    names = header_names(spark, path)
+    rows = read_rows(spark, path, len(names))
+    bad = F.raise_error(F.concat(F.lit("bad row: "), F.col("n_cells").cast("string"), F.lit(f" cells where {len(names)} are due")))
+    rows = rows.where(F.when(F.col("n_cells") == len(names), F.lit(True)).otherwise(bad.cast("boolean")))
+    raw = rows.select(F.col("row").alias("__pm_row"), *[F.nullif(F.col(f"c{i}"), F.lit("")).alias(n) for i, n in enumerate(names)])
+    raw = with_row_key(raw, names, id_col).drop("__pm_row")
+    if id_col not in names:
         types.pop(id_col, None)
     cols = {}
     for c, t in types.items():
@@ -106,13 +98,9 @@ def scan_tolerant(spark: SparkSession, path: str,
     """All-text read: trimmed header names, over-long rows skipped, short rows
     kept with NULLs, missing tokens as NULL, list columns parsed tolerantly
     (absent list columns become empty lists)."""
-    names = [c.strip() for c in _read_text_columns(spark, path).columns]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
-                          + [T.StructField(n, T.StringType()) for n in EXTRA_COLS])
-    df = (spark.read.options(**CSV_OPTS).option("mode", "PERMISSIVE")
-          .option("enforceSchema", "true").option("nullValue", _NO_NULL)
-          .schema(schema).csv(path))
-    df = spread(df.where(F.coalesce(*EXTRA_COLS).isNull()).drop(*EXTRA_COLS))
+    names = [c.strip() for c in header_names(spark, path)]
+    rows = read_rows(spark, path, len(names)).where(F.col("n_cells") <= len(names))
+    df = rows.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
     tokens = list(null_tokens)
     df = df.withColumns({n: F.when(F.col(n).isin(*tokens), F.lit(None)).otherwise(F.col(n)) for n in names})
     empty = F.expr("cast(array() as array<string>)")
