@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter
 
-import pytest
+import numpy as np
 
 from penmark.llm import setm
 
@@ -59,20 +59,57 @@ def test_against_brute_force(spark):
 
 
 def test_large_vocabulary_path_is_equal(spark, monkeypatch):
+    """Hashes instead of numbers, and a bitmap so small that it keeps most phrases."""
     rng = random.Random(3)
     rows = [(prose(rng, 60), "en") for _ in range(60)]
-    monkeypatch.setattr(setm, "fits", lambda df: False)
-    monkeypatch.setattr(setm, "small_table", lambda df: (df, 0))
+    monkeypatch.setattr(setm, "MAX_WORDS", 0)
     assert mined(spark, rows) == brute(rows)
 
 
+def test_false_hits_of_the_bitmap_change_nothing(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(prose(rng, 80), "en") for _ in range(40)]
+    monkeypatch.setattr(setm.Bitmap, "has", lambda self, cols: np.ones(len(cols[0]), bool))
+    words = mined(spark, rows, longest=4)
+    assert words == brute(rows, 4)
+
+
+def test_words_in_windows(monkeypatch):
+    """Windows cut between words give the words, places and hashes of one pass."""
+    rng = random.Random(5)
+    text = (prose(rng, 400) + " " + "w" * 300 + prose(rng, 50)).encode()
+    whole = setm.Words(0).of_texts([text, b"", b"x y"], np.zeros(3, np.uint64))
+    monkeypatch.setattr(setm, "STEP_BYTES", 40)
+    for a, b in zip(whole, setm.Words(0).of_texts([text, b"", b"x y"], np.zeros(3, np.uint64))):
+        assert (a == b).all()
+    low = setm.LOWER[whole[0]].tobytes()
+    pieces = [re.findall(rb"[^\x20\x09]+", p) for p in re.split(rb"[.,;:!?\x0A-\x0D]", low)]
+    want = [w for p in pieces for w in p]
+    assert [low[s:e] for s, e in zip(whole[1], whole[2])] == want
+    together = [(a, b) for p in pieces for a, b in zip(p, p[1:])]
+    near = np.flatnonzero(np.diff(whole[4]) == 1)
+    assert [(want[i], want[i + 1]) for i in near] == together
+
+
+def test_a_shared_hash_changes_the_seed(spark, monkeypatch):
+    class Poor(setm.Words):
+        def __init__(self, seed):
+            super().__init__(seed)
+            if seed == 0:
+                self.byte = np.ones(256, np.uint64)      # anagrams and more share a hash
+    monkeypatch.setattr(setm, "Words", Poor)
+    rows = [("ab ba ab ba cd", "en")] * 12
+    docs = frame(spark, rows).select("text", "lang")
+    seed, counts = setm.word_counts(docs)
+    assert seed == 1 and sorted((r["word"], r["f"]) for r in counts.collect()) == [("ab", 24), ("ba", 24), ("cd", 12)]
+
+
 def test_edges(spark):
     rows = [(None, "en"), ("", "en"), (" \t ", "en"), ("...", None), ("a", "en"), ("a b " * 30000, "de"), ("one two" * 1, "fr")]
     rows += [("Hot hot hot", "fr")] * 40 + [("x\x01y z", None)] * 10 + [("q  r\ts", "en")] * 9
     assert mined(spark, rows) == brute(rows)
     assert mined(spark, []) == []
     assert mined(spark, [(None, None)]) == []
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("penmark_r")]
 
 
 def test_counts_beyond_64_bits_are_exact(spark):
@@ -83,22 +120,10 @@ def test_counts_beyond_64_bits_are_exact(spark):
     assert r["score"] == 1000000 * big * big // ((big + 2) * (big + 5))
 
 
-def test_merge_join_reads_the_buckets(spark):
-    """The relation is joined with itself without an exchange or a sort of the left side."""
-    rows = spark.range(2000).selectExpr("id div 10 AS piece", "cast(id % 10 AS int) AS pos", "id % 7 AS w1")
-    store = setm.Relations(spark, 4)
-    r1 = store.write(rows.repartition(4, "piece"), "r1")
-    with store.merging():
-        joined = setm.extend(r1, 2)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        n = joined.count()
-    store.close()
-    assert "Exchange" not in plan and "SortMergeJoin" in plan and plan.count("Sort [") == 1
-    assert n == 1800
-
-
-@pytest.mark.parametrize("name", ["spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.legacy.bucketedTableScan.outputOrdering"])
-def test_settings_are_put_back(spark, name):
-    before = spark.conf.get(name)
-    mined(spark, [("a b", "en")] * 12)
-    assert spark.conf.get(name) == before
+def test_relations_move_no_occurrence(spark):
+    """Neither building nor extending a relation has an exchange; only counts have."""
+    docs = frame(spark, [("a b c. a b", "en")] * 20).select("text", "lang")
+    numbers = setm.Numbers(np.sort(np.arange(5, dtype=np.uint64)), None)
+    r1 = docs.mapInArrow(setm.first_relation(0, numbers), "step array<int>, w array<int>, begins array<boolean>")
+    plan = r1.mapInArrow(setm.phrases(1), "w1 long, w2 long")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
