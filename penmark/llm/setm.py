@@ -35,11 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from penmark.llm.common import STEP_BYTES, by_bytes, mix64
+from penmark.llm.common import STEP_BYTES, mix64
 from penmark.operators.joins import MAX_BROADCAST_BYTES, small_table
 from penmark.session import cut_lineage
 
@@ -50,6 +51,9 @@ EXACT = "decimal(18,0)"
 MAX_WORDS = MAX_BROADCAST_BYTES // 8
 BITMAP_BITS = 26
 SEEDS = 32
+#: Bytes of text whose words are combined before Spark counts them; documents merged at once.
+COUNT_BYTES = 4 * STEP_BYTES
+MERGE_ROWS = 256
 
 BLANK, CUT = 1, 2
 KIND = np.zeros(256, np.uint8)
@@ -132,12 +136,16 @@ def lang_hash(langs: list[str], seed: int) -> np.ndarray:
     return np.array([of[g] for g in langs], np.uint64)
 
 
-def text_runs(batch: pa.RecordBatch, seed: int):
-    """Runs of a batch's texts of about ``STEP_BYTES`` with their languages."""
-    texts = batch["text"].cast(pa.binary()).to_pylist()
+def text_runs(batch: pa.RecordBatch, seed: int, limit: int = STEP_BYTES):
+    """Runs of a batch's texts of about ``limit`` bytes with their languages."""
     langs = batch["lang"].to_pylist()
-    for a, b in by_bytes(texts):
-        yield texts[a:b], langs[a:b], lang_hash(langs[a:b], seed)
+    texts = batch["text"].cast(pa.binary())
+    ends = np.cumsum(pa.compute.binary_length(texts).to_numpy())
+    a = 0
+    while a < len(langs):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, side="right")))
+        yield texts[a:b].to_pylist(), langs[a:b], lang_hash(langs[a:b], seed)
+        a = b
 
 
 def unlike(low: np.ndarray, start: np.ndarray, end: np.ndarray, like: np.ndarray) -> np.ndarray:
@@ -158,39 +166,26 @@ def unlike(low: np.ndarray, start: np.ndarray, end: np.ndarray, like: np.ndarray
 
 
 def counted(seed: int):
-    """Arrow pass: (lang, word, h, f), combined over half a million words.  A word
+    """Arrow pass: (lang, word, h, f), combined over ``COUNT_BYTES`` of text.  A word
     that shares the hash of another is given out beside it."""
     def run(batches):
         words = Words(seed)
-        held: dict[tuple[str, bytes], list[int]] = {}
-
-        def out():
-            names = list(held)
-            v = list(held.values())
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([n[0] for n in names], pa.string()), pa.array([n[1] for n in names], pa.binary()).cast(pa.string()),
-                 pa.array([x[0] for x in v], pa.int64()), pa.array([x[1] for x in v], pa.int64())], names=["lang", "word", "h", "f"])
-            held.clear()
-            return batch
-
         for batch in batches:
-            for texts, langs, numbers in text_runs(batch, seed):
+            for texts, langs, numbers in text_runs(batch, seed, COUNT_BYTES):
                 data, start, end, text, _, h = words.of_texts(texts, numbers)
-                u, first, of, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                _, first, of, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
                 low = LOWER[data]
                 names = {g: i for i, g in enumerate(dict.fromkeys(langs))}
                 lang = np.array([names[g] for g in langs])[text]
-                odd = unlike(low, start, end, first[of])
-                odd = np.union1d(odd, np.flatnonzero(lang != lang[first[of]]))
+                like = first[of]
+                odd = np.union1d(unlike(low, start, end, like), np.flatnonzero(lang != lang[like]))
+                at = np.concatenate([first, odd])
                 low = low.tobytes()
-                for i in odd.tolist():
-                    held.setdefault((langs[text[i]], low[start[i]:end[i]]), [int(h[i].astype(np.int64)), 0])[1] += 1
-                for x, s, e, g, c in zip(u.view(np.int64).tolist(), start[first].tolist(), end[first].tolist(), text[first].tolist(), n.tolist()):
-                    held.setdefault((langs[g], low[s:e]), [x, 0])[1] += c
-                if len(held) > 500_000:
-                    yield out()
-        if held:
-            yield out()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(names)).take(pa.array(lang[at])),
+                     pa.array([low[s:e] for s, e in zip(start[at].tolist(), end[at].tolist())], pa.binary()).cast(pa.string()),
+                     pa.array(h[at].view(np.int64)), pa.array(np.concatenate([n, np.ones(len(odd), n.dtype)]))],
+                    names=["lang", "word", "h", "f"])
     return run
 
 
@@ -290,10 +285,16 @@ def first_relation(seed: int, numbers: Numbers):
     return run
 
 
+def slices(batches):
+    for batch in batches:
+        for a in range(0, batch.num_rows, MERGE_ROWS):
+            yield batch.slice(a, MERGE_ROWS)
+
+
 def flat(batch: pa.RecordBatch):
     """(row, place, w, begins) of a batch of a relation, flat."""
     step, w, begins = (batch[c].flatten().to_numpy(zero_copy_only=False) for c in ("step", "w", "begins"))
-    size = np.diff(batch["step"].offsets.to_numpy())
+    size = pa.compute.list_value_length(batch["step"]).to_numpy()
     row = np.repeat(np.arange(len(size)), size)
     place = np.cumsum(step, dtype=np.int64)
     first = np.cumsum(size) - size
@@ -312,7 +313,7 @@ def merged(batch: pa.RecordBatch, k: int):
 def phrases(k: int):
     """Arrow pass: the words of every occurrence in R_k+1."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             _, _, w, at = merged(batch, k)
             yield pa.RecordBatch.from_arrays([pa.array(w[at + i].astype(np.int64)) for i in range(k + 1)],
                                              names=keys_of(1, k + 1))
@@ -322,7 +323,7 @@ def phrases(k: int):
 def next_relation(k: int, often: Bitmap, kind: str):
     """Arrow pass: R_k+1 of frequent phrases; words that no phrase holds go."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             row, place, w, at = merged(batch, k)
             at = at[often.has([w[at + i] for i in range(k + 1)])]
             begins, keep = np.zeros(len(w), bool), np.zeros(len(w), bool)
