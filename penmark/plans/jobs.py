@@ -43,7 +43,7 @@ def with_label_index(df: DataFrame, labels: list[str], label: str = "label") ->
 
 def train_job(df: DataFrame, artifacts_path: str | None = None, grid_search: bool = False,
               seed: int = 42, id_col: str = "recipe_id", label: str = "label",
-              grid: list[dict] | None = None, metric: str = "accuracy", mlp_params: dict | None = None,
+              grid: list[dict] | None = None, metric: str | M.Metric = "accuracy", mlp_params: dict | None = None,
               stage1_params: dict | None = None) -> TrainResult:
     """Split 64/16/20 → stage-1 text model (fit on 80 % of train, checked on the
     other 20 %) → probabilities for all rows → features with train-fitted
@@ -74,7 +74,8 @@ def train_job(df: DataFrame, artifacts_path: str | None = None, grid_search: boo
     board = None
     if grid_search:
         model, board = ML.grid_search(feats, feature_cols, labels, id_col, grid=grid, metric=metric)
-        val_acc = board.orderBy(F.desc(f"val_{metric}")).first()["val_accuracy"]
+        name = metric if isinstance(metric, str) else metric.name
+        val_acc = board.orderBy(F.desc(f"val_{name}")).first()["val_accuracy"]
     else:
         model, val_acc = ML.train_val_score(feats, feature_cols, labels, id_col, **(mlp_params or {}))
     test = ML.mlp_predict(model, feats.where(F.col("split") == "test"), feature_cols, labels)

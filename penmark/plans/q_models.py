@@ -1,12 +1,14 @@
 """Registered modelling and job queries.
 
-Fitted models have no SQL equivalent, so most of these are rows-only checks;
-where an invariant or a closed form exists (probabilities sum to one, a
-linear scorer, the profile tables) the SQL states it.
+The text model's counts are plain SQL.  What a trained network predicts is not:
+there the SQL states an invariant (the row set, predictions among the labels,
+probabilities that sum to one, an accuracy above always answering the largest
+class, the leaderboard's rows).
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from penmark.functions.features import ENGINEERED_FEATURES, add_text_column
@@ -30,15 +32,33 @@ def _stage1(spark, sf):
     return d, ML.text_classifier_fit(d.where("split = 'train'"))
 
 
-@register("text_classifier_fit")
+TEXT_SQL = """concat_ws(' ', coalesce(recipe_name, ''), coalesce(description, ''), array_to_string(ingredients, ' '),
+       array_to_string(steps, ' '), array_to_string(tags, ' '))"""
+
+
+def better(rows, label: str = "label", pred: str = "prediction") -> bool:
+    """Whether the predictions are right more often than always answering the largest class."""
+    n = rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col(label) == F.col(pred)).cast("int")).alias("hit"))
+    r = n.agg(F.max("n").alias("top"), F.sum("hit").alias("hit")).first()
+    return bool(r["hit"] > r["top"])
+
+
+def likeliest(model):
+    """The label of the largest probability column."""
+    labels, pc = ML.model_labels(model), [F.col(c) for c in ML.prob_columns(model)]
+    return F.element_at(F.array(*[F.lit(x) for x in labels]), F.array_position(F.array(*pc), F.array_max(F.array(*pc))).cast("int"))
+
+
+@register("text_classifier_fit", with_views("recipes_d") + ",\n" + split_sql("recipes_d") + """,
+train AS (SELECT label, lower(""" + TEXT_SQL + """) AS text FROM splitted WHERE split = 'train'),
+toks AS (SELECT label, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}]+')) AS token FROM train)
+SELECT label, CAST(('0x' || md5(token)[1:8])::BIGINT % 262144 AS INTEGER) AS bucket, count(*) AS n, true AS better FROM toks GROUP BY 1, 2
+UNION ALL SELECT label, -1, count(*), true FROM train GROUP BY 1""")
 def q_text_classifier_fit(spark, sf):
+    """The counts that are the model; ``better``: on the validation rows it beats the largest class."""
     d, m = _stage1(spark, sf)
-    s = ML.text_classifier_score(m, d.where("split = 'val'"))
-    labels = ML.model_labels(m)
-    pc = [F.col(c) for c in ML.prob_columns(m)]
-    pred = F.element_at(F.array(*[F.lit(x) for x in labels]),
-                        F.array_position(F.array(*pc), F.array_max(F.array(*pc))).cast("int"))
-    return s.withColumn("prediction", pred).select("recipe_id", "label", "prediction")
+    s = ML.text_classifier_score(m, d.where("split = 'val'"), keep=["label"]).select("label", likeliest(m).alias("prediction"))
+    return m.counts.select("label", "bucket", "n", F.lit(better(s)).alias("better"))
 
 
 @register("text_classifier_score", """
@@ -59,7 +79,6 @@ def q_stack_features(spark, sf):
     d, m = _stage1(spark, sf)
     f, _ = feature_extraction(ML.text_classifier_score(m, d), "split")
     cols = ENGINEERED_FEATURES + ML.prob_columns(m)
-    from pyspark.ml.functions import vector_to_array
     a = ML.assemble(f, cols)
     return a.select("recipe_id", "split", F.size(vector_to_array("features")).alias("n_features"))
 
@@ -73,39 +92,61 @@ def _stage2_input(spark, sf):
     return cut_lineage(f), cols, labels
 
 
-@register("mlp_fit")
+@register("mlp_fit", with_views("recipes_d") + ",\n" + split_sql("recipes_d") + """
+SELECT recipe_id, label, true AS known, true AS better FROM splitted WHERE split = 'val'""")
 def q_mlp_fit(spark, sf):
     f, cols, labels = _stage2_input(spark, sf)
     model = ML.mlp_fit(f.where("split = 'train'"), cols, len(labels), "recipe_id")
-    return ML.mlp_predict(model, f.where("split = 'val'"), cols, labels).select("recipe_id", "label", "prediction")
+    p = cut_lineage(ML.mlp_predict(model, f.where("split = 'val'"), cols, labels).select("recipe_id", "label", "prediction"))
+    return p.select("recipe_id", "label", F.col("prediction").isin(*labels).alias("known"), F.lit(better(p)).alias("better"))
 
 
-@register("mlp_predict")
+@register("mlp_predict", with_views("recipes_d") + ",\n" + split_sql("recipes_d") + """
+SELECT recipe_id, true AS known FROM splitted WHERE split = 'test'""")
 def q_mlp_predict(spark, sf):
     f, cols, labels = _stage2_input(spark, sf)
     model = ML.mlp_fit(f.where("split = 'train'"), cols, len(labels), "recipe_id")
-    return ML.mlp_predict(model, f.where("split = 'test'"), cols, labels).select("recipe_id", "prediction")
+    p = ML.mlp_predict(model, f.where("split = 'test'"), cols, labels)
+    return p.select("recipe_id", F.col("prediction").isin(*labels).alias("known"))
 
 
-@register("train_val_score")
+@register("train_val_score", """
+SELECT count(DISTINCT lang) AS n_classes, true AS better, true AS valid FROM documents""")
 def q_train_val_score(spark, sf):
     f, cols, labels = _stage2_input(spark, sf)
-    _, acc = ML.train_val_score(f, cols, labels, "recipe_id")
-    return spark.range(1).select(F.lit(acc).cast("double").alias("val_accuracy"))
+    net, acc = ML.train_val_score(f, cols, labels, "recipe_id")
+    val = f.where("split = 'val'").groupBy("label").count().agg((F.max("count") / F.sum("count")).alias("top")).first()["top"]
+    return spark.range(1).select(F.lit(net.sizes[-1]).cast("bigint").alias("n_classes"), F.lit(bool(acc > val)).alias("better"),
+                                 F.lit(bool(0 <= acc <= 1)).alias("valid"))
 
 
-@register("grid_search")
+@register("grid_search", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{g['hidden']}', '{g['activation']}', {g['alpha']}::DOUBLE, {g['rate']}::DOUBLE, {g['max_iter']}, true, true)" for g in ML.param_grid())
+    + ") g(hidden, activation, alpha, rate, max_iter, valid, refitted)")
 def q_grid_search(spark, sf):
+    """The whole grid's leaderboard; ``valid``: scores are shares; ``refitted``: the
+    returned network has the best row's shape and beats the largest class."""
     f, cols, labels = _stage2_input(spark, sf)
-    _, board = ML.grid_search(f, cols, labels, "recipe_id")
-    return board
+    net, board = ML.grid_search(f, cols, labels, "recipe_id")
+    top = board.agg(F.max("val_accuracy")).first()[0]
+    shapes = {r["hidden"] for r in board.where(F.col("val_accuracy") == top).collect()}
+    val = f.where("split = 'val'")
+    refitted = str(tuple(net.sizes[1:-1])) in shapes and better(ML.mlp_predict(net, val, cols, labels))
+    return board.select("hidden", "activation", "alpha", "rate", "max_iter",
+                        (F.col("val_accuracy").between(0, 1) & F.col("val_f1").between(0, 1)).alias("valid"), F.lit(refitted).alias("refitted"))
 
 
-@register("out_of_fold_scores")
+@register("out_of_fold_scores", """
+SELECT doc_id AS recipe_id, lang AS label, 1.0 AS prob_sum, true AS better FROM documents""")
 def q_out_of_fold_scores(spark, sf):
     d = _docs(spark, sf)
     s = ML.out_of_fold_scores(d, "text", "label", "recipe_id", folds=3)
-    return s.select("recipe_id", "label", *[c for c in s.columns if c.startswith(ML.PROB_PREFIX)])
+    pc = [c for c in s.columns if c.startswith(ML.PROB_PREFIX)]
+    s = cut_lineage(s.select("recipe_id", "label", *pc))
+    best = F.element_at(F.array(*[F.lit(c.removeprefix(ML.PROB_PREFIX)) for c in pc]),
+                        F.array_position(F.array(*pc), F.array_max(F.array(*pc))).cast("int"))
+    good = better(s.withColumn("prediction", best))
+    return s.select("recipe_id", "label", r6(sum((F.col(c) for c in pc), F.lit(0.0))).alias("prob_sum"), F.lit(good).alias("better"))
 
 
 @register("train_job", with_views("recipes_d") + ",\n" + split_sql("recipes_d") + """,
@@ -125,12 +166,13 @@ def q_train_job(spark, sf):
     return rep.select("cls", "support", F.lit(bool(ok)).alias("consistent"))
 
 
-@register("predict_job")
+@register("predict_job", """
+SELECT doc_id AS recipe_id, true AS known FROM documents""")
 def q_predict_job(spark, sf):
     d = recipes_d(spark, sf)
     path = scratch_path(spark, "artifacts")
-    J.train_job(d, artifacts_path=path)
-    return J.predict_job(d.drop("label"), path)
+    labels = J.train_job(d, artifacts_path=path).artifacts.labels
+    return J.predict_job(d.drop("label"), path).select("recipe_id", F.col("prediction").isin(*labels).alias("known"))
 
 
 @register("save_artifacts", """
@@ -179,7 +221,8 @@ def q_profile_job(spark, sf):
                       "n_outliers")
 
 
-@register("stream_score")
+@register("stream_score", """
+SELECT doc_id AS recipe_id, true AS known FROM documents""")
 def q_stream_score(spark, sf):
     """Train on the documents, then score them again through a streaming query
     (Parquet source written from the table, availableNow trigger)."""
@@ -191,4 +234,4 @@ def q_stream_score(spark, sf):
     out = scratch_path(spark, "stream-out")
     q = start_stream_score(spark, src, d.drop("label").schema, res.artifacts, out)
     q.awaitTermination()
-    return spark.read.parquet(out).select("recipe_id", "prediction")
+    return spark.read.parquet(out).select("recipe_id", F.col("prediction").isin(*res.artifacts.labels).alias("known"))
