@@ -52,7 +52,7 @@ MAX_WORDS = MAX_BROADCAST_BYTES // 8
 BITMAP_BITS = 26
 SEEDS = 32
 #: Bytes of text whose words are combined before Spark counts them; documents merged at once.
-COUNT_BYTES = 4 * STEP_BYTES
+COUNT_BYTES = 2 * STEP_BYTES
 MERGE_ROWS = 256
 
 BLANK, CUT = 1, 2
@@ -78,7 +78,7 @@ class Words:
 
     def __init__(self, seed: int):
         self.byte = mix64(np.arange(256, dtype=np.uint64) + np.uint64(1 + 256 * seed))[LOWER]
-        self.up, self.down = powers(2 * STEP_BYTES)
+        self.up, self.down = powers(STEP_BYTES)
 
     def windows(self, kind: np.ndarray) -> Iterator[tuple[int, int]]:
         """Cuts of at most ``STEP_BYTES`` at the end of a word; a longer word is whole."""
