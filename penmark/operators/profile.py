@@ -1,11 +1,11 @@
 """Per-class profiling: counts, box statistics, outliers, global quantile.
 
 The reference loops over features × classes and filters the frame each time.
-Here one grouped aggregate computes the box statistics of all features; partial
-aggregation runs before the shuffle.  Exact
-percentiles keep a value→count map per group (memory grows with distinct
-values, not rows: counts and lengths have few); ``approx=True`` switches to
-``percentile_approx`` for continuous features with many distinct values.
+Here the box statistics of all classes and features come from the same few
+passes; partial aggregation runs before every shuffle.  Exact percentiles select
+by refining histograms (``quantiles``): no task holds a group's values, and a
+class with a third of the rows is no single task's work.  ``approx=True`` uses
+``percentile_approx`` instead.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from penmark.functions.columns import coerce_double_default, numeric_first_key, trim_label
 from penmark.functions.features import list_count, text_length
 from penmark.operators.joins import small_table
+from penmark.operators.quantiles import exact_quantiles
 from penmark.session import cut_lineage
 
 # Fixed values that must equal the reference's for the same results.
@@ -68,8 +69,12 @@ def numeric_first_order(df: DataFrame, label: str = "label") -> DataFrame:
 def global_quantile(df: DataFrame, col: str, q: float = CLIP_QUANTILE,
                     approx: bool = False) -> DataFrame:
     """One-row quantile of a column, truncated to an integer (plot limit)."""
-    pct = (F.percentile_approx(col, q, 100000) if approx else F.percentile(col, q))
-    return df.agg(pct.cast("double").try_cast("bigint").alias("clip_limit"))
+    if approx:
+        found = df.agg(F.percentile_approx(col, q, 100000).alias("v"))
+    else:
+        one = exact_quantiles(_narrow(df, [col], []), [col], [], [q]).select(F.col("q")[0].alias("v"))
+        found = one.agg(F.max("v").alias("v"))          # a table without values has one row too
+    return found.select(F.col("v").cast("double").try_cast("bigint").alias("clip_limit"))
 
 
 def _narrow(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -79,11 +84,16 @@ def _narrow(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> Data
 
 def _box_wide(rows: DataFrame, features: Sequence[str], label: str, approx: bool) -> DataFrame:
     """One row per class: n and, for each feature f, a struct ``s_f`` of its box
-    statistics, from one grouped pass."""
+    statistics."""
     qs = [0.25, 0.5, 0.75]
-    pct = (lambda f: F.percentile_approx(f, qs, 100000)) if approx else (lambda f: F.percentile(f, qs))
-    aggs = [x for f in features for x in (pct(f).alias(f"q_{f}"), F.min(f).alias(f"lo_{f}"), F.max(f).alias(f"hi_{f}"))]
+    aggs = [x for f in features for x in (F.min(f).alias(f"lo_{f}"), F.max(f).alias(f"hi_{f}"))]
+    if approx:
+        aggs += [F.percentile_approx(f, qs, 100000).alias(f"q_{f}") for f in features]
     st = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *aggs)
+    if not approx:
+        q = exact_quantiles(rows, features, [label], qs)
+        wide = q.groupBy(label).agg(*[F.max_by("q", F.col("feature") == f).alias(f"q_{f}") for f in features])
+        st = st.join(wide, label)
 
     def box(f: str) -> Column:
         q1, median, q3 = (F.col(f"q_{f}")[i].cast("double") for i in range(3))

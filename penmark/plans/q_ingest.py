@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from penmark.functions import features as FT
-from penmark.functions.lists import parse_list_strict, parse_list_tolerant, to_list_literal
+from penmark.functions.lists import parse_list_tolerant, parse_lists_strict, parse_lists_tolerant, to_list_literal
 from penmark.operators import profile as P
 from penmark.plans.catalog import register
-from penmark.session import scratch_path
+from penmark.session import cut_lineage, scratch_path
 from penmark.sources.csv_scan import scan_inferred, scan_strict, scan_tolerant, write_recipes_csv
 from penmark.sources.fixtures import recipes_d, recipes_o, table, with_views
 from penmark.sources.sinks import csv_cell, sink_predictions, write_lines_with_header
@@ -103,9 +103,10 @@ def q_scan_inferred(spark, sf):
 SELECT recipe_id, {_count_sql('tags')}, {_count_sql('steps')}, {_count_sql('ingredients')} FROM recipes_o""")
 def q_parse_list_tolerant(spark, sf):
     o = recipes_o(spark, sf)
-    cells = o.select("recipe_id", *[_styled(c).alias(c) for c in ["tags", "steps", "ingredients"]])
-    return cells.select("recipe_id", *[FT.list_count(parse_list_tolerant(F.col(c))).alias(f"n_{c}")
-                                       for c in ["tags", "steps", "ingredients"]])
+    # the parser reads its input for each of its branches
+    cells = cut_lineage(o.select("recipe_id", *[_styled(c).alias(c) for c in ["tags", "steps", "ingredients"]]), "cells")
+    lists = parse_lists_tolerant(cells, ["tags", "steps", "ingredients"])
+    return lists.select("recipe_id", *[FT.list_count(c).alias(f"n_{c}") for c in ["tags", "steps", "ingredients"]])
 
 
 @register("parse_list_strict", with_views("recipes_d") + """
@@ -114,8 +115,7 @@ SELECT recipe_id, md5(array_to_string(steps, chr(10))) AS steps_md5, CAST(len(st
 def q_parse_list_strict(spark, sf):
     d = recipes_d(spark, sf).select("recipe_id", to_list_literal("steps").alias("s"),
                                     F.to_json("ingredients").alias("i"))
-    p = d.select("recipe_id", parse_list_strict(F.col("s"), "steps").alias("steps"),
-                 parse_list_strict(F.col("i"), "ingredients").alias("ingredients"))
+    p = parse_lists_strict(d.select("recipe_id", F.col("s").alias("steps"), F.col("i").alias("ingredients")), ["steps", "ingredients"])
     return p.select("recipe_id", F.md5(F.array_join("steps", "\n")).alias("steps_md5"),
                     FT.list_count("steps").alias("n_steps"), F.array_join("ingredients", "|").alias("ingredients"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from penmark.functions.features import LIST_COLUMNS, date_parse_dayfirst
-from penmark.functions.lists import parse_list_strict, parse_list_tolerant, to_list_literal
+from penmark.functions.lists import parse_lists_strict, parse_lists_tolerant, to_list_literal
 from penmark.session import scratch_path
 from penmark.sources.ranged_csv import read_rows
 
@@ -86,10 +86,7 @@ def scan_strict(spark: SparkSession, path: str,
             d = date_parse_dayfirst(c)
             cols[c] = F.when(F.col(c).isNotNull() & d.isNull(), F.raise_error(
                 F.concat(F.lit(f"bad date in {c}: "), F.col(c))).cast("date")).otherwise(d)
-    for c in list_cols:
-        if c in raw.columns:
-            cols[c] = parse_list_strict(F.col(c), c)
-    return raw.withColumns(cols)
+    return parse_lists_strict(raw, list_cols).withColumns(cols)
 
 
 def scan_tolerant(spark: SparkSession, path: str,
@@ -104,8 +101,7 @@ def scan_tolerant(spark: SparkSession, path: str,
     tokens = list(null_tokens)
     df = df.withColumns({n: F.when(F.col(n).isin(*tokens), F.lit(None)).otherwise(F.col(n)) for n in names})
     empty = F.expr("cast(array() as array<string>)")
-    lists = {c: (parse_list_tolerant(F.col(c)) if c in names else empty) for c in list_cols}
-    return df.withColumns(lists)
+    return parse_lists_tolerant(df, list_cols).withColumns({c: empty for c in list_cols if c not in names})
 
 
 def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
