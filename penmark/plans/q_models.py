@@ -8,19 +8,23 @@ class, the leaderboard's rows).
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from penmark.functions.features import ENGINEERED_FEATURES, add_text_column
 from penmark.operators import models as ML
 from penmark.operators import dataset as D
+from penmark.operators.batched import RecordModel, labelled, score_records
+from penmark.operators.epochs import fit_epochs, score_epochs
 from penmark.operators.featurize import feature_extraction
+from penmark.operators.metrics import Accuracy, measure
 from penmark.plans import jobs as J
 from penmark.plans.catalog import r6, register
 from penmark.plans.q_dataset import split_sql
 from penmark.plans.q_profile import _BOX_SQL
 from penmark.session import cut_lineage, scratch_path
-from penmark.sources.artifacts import load_artifacts, save_artifacts
+from penmark.sources.artifacts import load_artifacts, save_artifacts, save_version
 from penmark.sources.fixtures import recipes_d, table, with_views
 
 def _docs(spark, sf):
@@ -235,3 +239,73 @@ def q_stream_score(spark, sf):
     q = start_stream_score(spark, src, d.drop("label").schema, res.artifacts, out)
     q.awaitTermination()
     return spark.read.parquet(out).select("recipe_id", F.col("prediction").isin(*res.artifacts.labels).alias("known"))
+
+
+@register("text_epochs_fit", """
+SELECT doc_id AS recipe_id, true AS known, true AS better, true AS best_kept FROM documents""")
+def q_text_epochs_fit(spark, sf):
+    """Epoch training on the documents, all rows scored by the best epoch; ``best_kept``:
+    no other epoch's validation loss is smaller."""
+    d = D.stratified_split(_docs(spark, sf)).select("recipe_id", "label", "text", "split")
+    m = fit_epochs(d.where("split = 'train'"), d.where("split = 'val'"), "recipe_id", scratch_path(spark, "epochs"))
+    kept = m.val_losses[m.best_epoch - 1] == min(m.val_losses)
+    s = cut_lineage(score_epochs(m, d, "recipe_id").withColumn("recipe_id", F.col("row_key").cast("bigint")))
+    good = better(s.join(d.where("split = 'test'").select("recipe_id", "label"), "recipe_id"))
+    return s.select("recipe_id", F.col("prediction").isin(*m.labels).alias("known"), F.lit(good).alias("better"), F.lit(kept).alias("best_kept"))
+
+
+class TokenShares:
+    """Fixed scorer for the query: shares of a text's tokens by length modulo 3,
+    one added to each."""
+
+    @staticmethod
+    def load():
+        return None
+
+    @staticmethod
+    def encode(_, text):
+        return [len(w) % 3 for w in text.split(" ") if w]
+
+    @staticmethod
+    def predict(_, ids, mask):
+        n = np.stack([((ids == c) & mask).sum(1) + 1.0 for c in range(3)], 1)
+        return n / n.sum(1, keepdims=True)
+
+
+@register("batch_records", """
+WITH w AS (SELECT doc_id, list_filter(string_split(coalesce(text, ''), ' '), lambda x: x <> '') ws FROM documents),
+n AS (SELECT doc_id, [1 + len(list_filter(ws, lambda x: length(x) % 3 = 0)), 1 + len(list_filter(ws, lambda x: length(x) % 3 = 1)),
+                      1 + len(list_filter(ws, lambda x: length(x) % 3 = 2))] c, len(ws) + 3 t FROM w)
+SELECT doc_id, round(c[1] / t, 6) AS p0, round(c[2] / t, 6) AS p1, round(c[3] / t, 6) AS p2,
+       CASE WHEN c[1] >= c[2] AND c[1] >= c[3] THEN 'zero' WHEN c[2] >= c[3] THEN 'one' ELSE 'two' END AS prediction FROM n""")
+def q_batch_records(spark, sf):
+    """Token-bounded, length-bucketed batches through a caller's model."""
+    model = RecordModel(TokenShares.load, TokenShares.encode, TokenShares.predict)
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    s = labelled(score_records(d, "text", model), ["zero", "one", "two"])
+    return s.select("doc_id", *[r6(F.col("probabilities")[i]).alias(f"p{i}") for i in range(3)], "prediction")
+
+
+@register("user_metric", with_views("recipes_d") + ",\n" + split_sql("recipes_d") + """
+SELECT split, round(avg(CAST(label = 'en' AS DOUBLE)), 6) AS accuracy FROM splitted GROUP BY split""")
+def q_user_metric(spark, sf):
+    """A metric written as a mergeable aggregate, by split: always answering ``en``."""
+    d = D.stratified_split(recipes_d(spark, sf)).select("split", "label").withColumn("prediction", F.lit("en"))
+    return measure(d, Accuracy(), by=["split"]).select("split", r6("value").alias("accuracy"))
+
+
+@register("stream_score_keyed", """
+SELECT doc_id AS recipe_id, true AS known, 1 AS n FROM documents""")
+def q_stream_score_keyed(spark, sf):
+    """A stream scored batch by batch with the newest artifacts; one batch is run
+    again and leaves the output unchanged."""
+    from penmark.streaming.score import KeyedScorer, start_keyed_score
+    d = recipes_d(spark, sf)
+    root, src, out = (scratch_path(spark, x) for x in ("stream-models", "stream-in", "stream-out"))
+    res = J.train_job(d)
+    save_version(spark, res.artifacts, root)
+    d.drop("label").write.mode("overwrite").parquet(src)
+    start_keyed_score(spark, src, d.drop("label").schema, root, out, scratch_path(spark, "stream-ckpt")).awaitTermination()
+    KeyedScorer(root, out)(spark.read.parquet(src), 0)
+    got = spark.read.parquet(out).groupBy("recipe_id").agg(F.count(F.lit(1)).cast("int").alias("n"), F.max("prediction").alias("prediction"))
+    return got.select("recipe_id", F.col("prediction").isin(*res.artifacts.labels).alias("known"), "n")
