@@ -55,6 +55,43 @@ def bounded_sample(df: DataFrame, text_col: str, n: int) -> DataFrame:
     return df.where(h <= F.lit(last)).dropDuplicates([text_col]).orderBy(h, text_col).limit(n)
 
 
+#: Labels that a sample is drawn for at most: a rating scale, not a measurement.
+MAX_LABELS = 64
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, share, id_col: str, text_col: str) -> list[tuple]:
+    """(label, text) rows for the driver: for each label ``share(number of labels)``
+    distinct texts, those with the smallest hash; labels in order.
+
+    ``labels`` has one row (__pm_id, __pm_y) for each id.  Ids and hashes alone are
+    joined and grouped; the texts chosen are then fetched by id, so no other text
+    leaves the task that reads it."""
+    h = F.xxhash64(F.lit(7), F.col(text_col))
+    narrow = (docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__pm_id"), h.alias("__pm_h"))
+              .join(labels, "__pm_id").groupBy("__pm_y", "__pm_h").agg(F.min("__pm_id").alias("__pm_id")))
+    narrow = cut_lineage(narrow, "labelled")
+    found = sorted(r[0] for r in narrow.select("__pm_y").distinct().limit(MAX_LABELS + 1).collect())
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} different labels")
+    chosen = []
+    for y in found:
+        chosen += narrow.where(F.col("__pm_y") == y).orderBy("__pm_h").limit(share(len(found))).collect()
+    if not chosen:
+        return []
+    picked = docs.sparkSession.createDataFrame(chosen, narrow.schema).toDF("__pm_y", "__pm_h", "__pm_id")
+    texts = (docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__pm_id"), h.alias("__pm_h"), F.col(text_col).alias("__pm_text"))
+             .join(F.broadcast(picked), ["__pm_id", "__pm_h"]).groupBy("__pm_y", "__pm_h").agg(F.min("__pm_text").alias("t")))
+    return [(r["__pm_y"], r["t"]) for r in sorted(texts.collect(), key=lambda r: (r["__pm_y"], r["__pm_h"]))]
+
+
+def added(df: DataFrame, name: str) -> str:
+    """``name`` for a column to add, with ``_`` after it for as long as the caller
+    has a column called so: theirs is kept."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def by_bytes(texts, limit: int = STEP_BYTES):
     """Index ranges (a, b) over ``texts`` (bytes, str or None) whose total
     length is about ``limit``; a longer text stands alone."""

@@ -7,6 +7,9 @@ The expected grade and a tail probability follow for every document.
 Defined results: a null or empty text has the all-zero feature vector and gets
 the grades' base rates from the thresholds; with fewer than two grades to
 learn from, every document gets that grade with certainty (0 without any).
+Repeated rows get equal results; very long texts are read whole; a text at equal
+probabilities counts to the lower grade's side of ``select_at`` only below it; an
+empty table gives none; extra columns stay.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from penmark.llm.common import bounded_sample, by_bytes
+from penmark.llm.common import added, by_bytes, labelled_sample
 
 N_BUCKETS = 1 << 16
 WORD = re.compile(r"\S+")
@@ -128,16 +131,9 @@ def train(docs: DataFrame, ratings: DataFrame, rating: F.Column | str, max_docs:
     rate = F.col(rating) if isinstance(rating, str) else rating
     lab = (ratings.select(F.col(id_col).alias("__pm_id"), rate.cast("double").alias("__pm_y"))
            .where("__pm_id is not null and __pm_y is not null").groupBy("__pm_id").agg(F.max("__pm_y").alias("__pm_y")))
-    rows = (docs.select(F.col(id_col).alias("__pm_id"), F.col(text_col).alias("__pm_text"))
-            .where(F.col("__pm_text").isNotNull()).join(lab, "__pm_id"))
-    grades = sorted(r[0] for r in rows.select("__pm_y").distinct().collect())
-    texts, got = [], []
-    for i, g in enumerate(grades):
-        part = bounded_sample(rows.where(F.col("__pm_y") == g).select("__pm_text"), "__pm_text",
-                              max_docs // len(grades)).collect()
-        texts += [r[0] for r in part]
-        got += [i] * len(part)
-    return fit(texts, np.array(got, np.int64), grades)
+    got = labelled_sample(docs, lab, lambda n: max_docs // n, id_col, text_col)
+    grades = sorted({y for y, _ in got})
+    return fit([t for _, t in got], np.array([grades.index(y) for y, _ in got], np.int64), grades)
 
 
 def score_udf(docs: DataFrame, model: Ordinal, tail_at: int = 0):
@@ -167,6 +163,8 @@ _CACHE: dict[int, Shapes] = {}
 def score(docs: DataFrame, model: Ordinal, text_col: str = "text", tail_at: int = 0,
           select_at: float = 0.5) -> DataFrame:
     """``docs`` with ``quality`` (expected_grade, tail_prob) and ``selected``
-    (tail_prob >= ``select_at``) added."""
-    return (docs.withColumn("quality", score_udf(docs, model, tail_at)(F.col(text_col)))
-            .withColumn("selected", F.col("quality.tail_prob") >= select_at))
+    (tail_prob >= ``select_at``) added; a caller's columns of these names stay and
+    ours are ``quality_`` and ``selected_``."""
+    q, sel = added(docs, "quality"), added(docs, "selected")
+    out = docs.withColumn(q, score_udf(docs, model, tail_at)(F.col(text_col)))
+    return out.withColumn(sel, F.col(q)["tail_prob"] >= select_at)

@@ -7,7 +7,8 @@ sentence probabilities then say where the offence is.
 
 Defined results: a null or empty text has no sentence and scores 0; rows that
 repeat get the same score; extra columns are passed through; without both
-labels among the training rows every score is 0.
+labels among the training rows every score is 0; very long texts are read whole;
+an empty table gives none.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from penmark.llm.common import bounded_sample, by_bytes
+from penmark.llm.common import added, by_bytes, labelled_sample
 
 #: A word (letters only) or a run of sentence ends.
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]+")
@@ -138,12 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, id_col: str
     """
     lab = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
            .groupBy(F.col(id_col).alias("__pm_id")).agg(F.max(F.col(label_col)).cast("int").alias("__pm_y")))
-    rows = (docs.select(F.col(id_col).alias("__pm_id"), F.col(text_col).alias("__pm_text"))
-            .where(F.col("__pm_text").isNotNull()).join(lab, "__pm_id"))
-    got = []
-    for value in (1, 0):
-        part = bounded_sample(rows.where(F.col("__pm_y") == value).select("__pm_text"), "__pm_text", max_docs // 2)
-        got += [(r[0], value) for r in part.collect()]
+    got = labelled_sample(docs, lab, lambda n: max_docs // 2, id_col, text_col)
+    got = [(t, y) for value in (1, 0) for y, t in got if y == value]
     return fit([t for t, _ in got], np.array([v for _, v in got]))
 
 
@@ -197,5 +194,6 @@ def locate(text: str, model: NoisyOr, weight: WordWeights, at: float = 0.5) -> l
 
 
 def score(docs: DataFrame, model: NoisyOr, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``toxicity`` (score, spans) added."""
-    return docs.withColumn("toxicity", score_udf(docs, model)(F.col(text_col)))
+    """``docs`` with ``toxicity`` (score, spans) added; if the caller has a column of
+    that name it stays and ours is ``toxicity_``."""
+    return docs.withColumn(added(docs, "toxicity"), score_udf(docs, model)(F.col(text_col)))
