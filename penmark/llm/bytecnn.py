@@ -8,8 +8,10 @@ the languages.  A text's probabilities are the mean over all its windows.
 Applying a filter to embedded bytes is a sum of table rows, one table per
 offset, so inference looks up pairs of bytes in precomputed tables.
 
-Defined results: ``und`` with score 0 for a null text or one without a letter,
-and when there is no labelled text to learn from.
+Defined results: ``und`` with score 0 for a null text or one without a letter
+(Unicode category L), and when there is no labelled text to learn from; every
+window of a very long text is read; of equally likely languages the first by name;
+repeated rows get equal results; an empty table gives none; extra columns stay.
 """
 
 from __future__ import annotations
@@ -23,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from penmark.llm.common import bounded_sample
+from penmark.llm.common import added, bounded_sample
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBED = 8
-LETTER = re.compile(r"[^\W\d_]")
+ASCII_LETTER = re.compile("[A-Za-z]")
 UND = "und"
 
 
@@ -162,6 +164,11 @@ def train(docs: DataFrame, max_docs: int = 4000, text_col: str = "text", lang_co
     return fit([t for t, _ in got], [g for _, g in got])
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of Unicode category L, as the training's ``\\p{L}``."""
+    return bool(ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
 def predict_udf(docs: DataFrame, model: ByteCnn | None, step: int = 256):
     """Scalar UDF: text -> struct(lang_pred, score); every window of a text is
     read, ``step`` windows at a time."""
@@ -187,7 +194,7 @@ def predict_udf(docs: DataFrame, model: ByteCnn | None, step: int = 256):
 
         size = 0
         for i, t in enumerate(text.tolist()):
-            if m is None or not isinstance(t, str) or not LETTER.search(t):
+            if m is None or not isinstance(t, str) or not has_letter(t):
                 continue
             w = cut(t.encode("utf-8", "replace"))
             part.append(w)
@@ -207,5 +214,6 @@ def predict_udf(docs: DataFrame, model: ByteCnn | None, step: int = 256):
 
 
 def predict(docs: DataFrame, model: ByteCnn | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``language`` (lang_pred, score) added."""
-    return docs.withColumn("language", predict_udf(docs, model)(F.col(text_col)))
+    """``docs`` with ``language`` (lang_pred, score) added; if the caller has a column
+    of that name it stays and ours is ``language_``."""
+    return docs.withColumn(added(docs, "language"), predict_udf(docs, model)(F.col(text_col)))
