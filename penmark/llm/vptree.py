@@ -55,6 +55,9 @@ def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
 def cosines(v: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Cosine of each row with ``q`` in double precision, row by row the same
     whatever stands beside it."""
+    # powers of two, so huge and tiny components neither overflow nor vanish
+    v = np.ldexp(v, -np.frexp(np.abs(v).max(1, keepdims=True))[1])
+    q = np.ldexp(q, -np.frexp(np.abs(q).max())[1])
     dot = (v * q).sum(1)
     return dot / (np.sqrt((v * v).sum(1)) * np.sqrt((q * q).sum()))
 
@@ -64,7 +67,8 @@ class Tree:
 
     def __init__(self, v: np.ndarray, ids: list[np.ndarray], seed: int = 5):
         self.v, self.ids = v, ids
-        self.unit = v / np.sqrt((v * v).sum(1))[:, None]
+        unit = np.ldexp(v, -np.frexp(np.abs(v).max(1, keepdims=True))[1])
+        self.unit = unit / np.sqrt((unit * unit).sum(1))[:, None]
         self.rng = np.random.default_rng(seed)
         self.root = self.build(np.arange(len(v)))
 
@@ -83,7 +87,8 @@ class Tree:
     def search(self, q: np.ndarray, qid, k: int, factor: float) -> list[tuple[float, int]]:
         """The k best (score, id), best first, ties to the smaller id."""
         best: list[tuple[float, int]] = []
-        unit = q / np.sqrt((q * q).sum())
+        unit = np.ldexp(q, -np.frexp(np.abs(q).max())[1])
+        unit = unit / np.sqrt((unit * unit).sum())
 
         def offer(rows):
             s = cosines(self.v[rows], q)
