@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from penmark.session import cut_lineage
 
 
+#: Links that one task goes through at the end (16 bytes each); more are solved in rounds.
+ONE_TASK = 200_000
+
+
 def forest(links: DataFrame) -> DataFrame:
     """Union-find inside each partition: its links (a, b) become links of every
     node to its smallest one, so fewer and shorter chains are shuffled."""
@@ -46,6 +50,10 @@ def components(links: DataFrame) -> DataFrame:
     a node with very many links is split by the planner, not one task's group.
     """
     edges = cut_lineage(forest(links).where("a <> b").distinct(), "edges")
+    if edges.count() <= ONE_TASK:       # what partitions left over fits one task's union-find: one pass instead of rounds
+        star = cut_lineage(forest(edges.coalesce(1)), "stars")
+        return star.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
+            star.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct()
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     label = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(
         F.least(F.min("b"), F.first("a")).alias("component")), "labels")
