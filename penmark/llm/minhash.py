@@ -10,11 +10,12 @@ equal band are candidates, checked on their full shingle sets, and links are
 grouped by union-find.
 
 Documents with equal shingle sets are one node, buckets with equal members one
-bucket.  A bucket's members are not paired with each other: they are checked
-against a centre, and only those still in other groups against further centres,
-so large groups cost one check a member while no link is lost.  The centre is the
-member that stands in the largest buckets: an original that many copies were
-drawn from shares most of their bands, each copy only some of the others'.
+bucket.  A bucket's members are first checked against a centre, so large groups
+cost one check a member.  The centre is the member that stands in the largest
+buckets: an original that many copies were drawn from shares most of their bands,
+each copy only some of the others'.  Buckets whose members are still of several
+groups are compared in blocks by whole signature, and only pairs that may be links
+leave a block, so none is lost.
 
 Pairs are thinned before any text is read: by their sizes (exact), then by whole
 signatures, of which at least ``ALIKE`` of the slots must agree; at 0.75 that
@@ -46,6 +47,8 @@ K = 5
 SLOTS, ROWS = 200, 5                      # 40 bands: a link at 0.75 is missed once in 50,000
 PERCENT = 75
 ALIKE = 0.55
+#: Rounds of centres, and members compared with each other at once in what these leave open.
+STARS, BLOCK = 2, 1024
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -236,43 +239,87 @@ def linked(buckets: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int,
     """Links (a, b) that connect what all checked pairs within buckets (key,
     node, n, weight) would connect.
 
-    Each round takes members of each open bucket that were not centres yet (up
-    to 1, then 16, 256, ...) and checks every member of another group against
-    them.  A bucket is done when all its members are one group or all were
-    centres, so each pair of a bucket is checked or needless.  Groups are kept
-    from round to round: new links join groups, not documents.
+    ``STARS`` rounds check the members of every open bucket against a centre.  A
+    bucket is open while its members are of several groups; groups are kept from
+    round to round, and new links join groups, not documents.  What is still open
+    is compared whole, by signature, in blocks of bounded size (``alike``).
     """
-    spark = buckets.sparkSession
-    none = spark.createDataFrame([], "a long, b long")
-    found, tested, comp = none, none, None
-    live, used, width = buckets.withColumn("comp", F.col("node")), None, 1
-    while True:
+    found = buckets.sparkSession.createDataFrame([], "a long, b long")
+    live, used, comp = buckets.withColumn("comp", F.col("node")), None, None
+    for _ in range(STARS):
         ahead = live if used is None else live.join(used, ["key", "node"], "left_anti")
         first = F.max(F.struct("weight", (-F.col("node")).alias("least"), "comp", "n"))
-        centres = ahead.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(width)).alias("salt")).agg(first.alias("c"))
+        centres = ahead.groupBy("key").agg(first.alias("c"))
         centres = cut_lineage(centres.select("key", (-F.col("c.least")).alias("c"), F.col("c.comp").alias("cc"), F.col("c.n").alias("cn")), "centres")
         # a link needs sizes within the threshold of each other
         pairs = (live.join(centres, "key").where("node <> c and comp <> cc")
                  .where(100 * F.least("n", "cn") >= percent * F.greatest("n", "cn"))
                  .select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")).distinct())
-        if used is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs, "pairs")
-        tested = tested.unionByName(pairs)
         near = cut_lineage(resembling(pairs, sigs), "near")
         links = cut_lineage(verified(near, texts, percent, k), "links")
         found = found.unionByName(links)
         comp = cut_lineage(joined(comp, links), "groups")
-        mine = centres.select("key", F.col("c").alias("node"))
-        used = mine if used is None else used.unionByName(mine)
+        used = centres.select("key", F.col("c").alias("node"))
         now = live.drop("comp").join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        size = used.groupBy("key").agg(F.count(F.lit(1)).alias("used"))
-        open_ = (now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-                 .where("lo < hi").join(size, "key").where("used < n - 1").select("key"))
-        live = cut_lineage(now.join(cut_lineage(open_, "open"), "key", "left_semi"), "live")
-        if live.limit(1).count() == 0:
-            return found
-        width *= 16
+        open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+        live = cut_lineage(now.join(open_, "key", "left_semi"), "live")
+    near = cut_lineage(alike(live, sigs, percent).distinct(), "alike")
+    return found.unionByName(cut_lineage(verified(near, texts, percent, k), "links"))
+
+
+def alike(live: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups within a bucket whose sizes and signatures
+    allow a link.
+
+    A bucket is cut into blocks of about ``BLOCK`` members; a cell holds two
+    blocks, so no task holds a bucket, and only pairs that pass leave it.  Cells
+    are runs of sorted rows, many to a task."""
+    blocks = live.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    rows = live.select("key", "node", "n", "comp").join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "comp")
+    rows = rows.join(sigs, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def cell(i: int, j: int, block, node, n, comp, sig) -> tuple[list, list]:
+        out: tuple[list, list] = ([], [])
+        x = np.frombuffer(b"".join(sig), np.uint8).reshape(len(node), -1)
+        for r in range(len(node) - 1):
+            rest = slice(r + 1, None)
+            ok = (comp[rest] != comp[r]) & (100 * np.minimum(n[rest], n[r]) >= percent * np.maximum(n[rest], n[r]))
+            if i != j:
+                ok &= block[rest] != block[r]
+            at = np.flatnonzero(ok) + r + 1
+            if len(at):
+                at = at[(x[at] == x[r]).sum(1) >= ALIKE * x.shape[1]]
+                out[0].extend(np.minimum(node[at], node[r]).tolist())
+                out[1].extend(np.maximum(node[at], node[r]).tolist())
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def pairs() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held)
+            held.clear()
+            ints = [t[c].to_numpy() for c in ("block", "node", "n", "comp")]
+            a, b = cell(t["i"][0].as_py(), t["j"][0].as_py(), *ints, t["sig"].to_pylist())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = np.stack([batch[c].to_numpy() for c in ("key", "i", "j")])
+            cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            for x, y in zip(cuts, cuts[1:]):
+                if held and tuple(at[:, x]) != last:
+                    yield pairs()
+                held.append(batch.slice(x, y - x))
+                last = tuple(at[:, x])
+        if held:
+            yield pairs()
+
+    return rows.select("key", "i", "j", "block", "node", "n", "comp", "sig").mapInArrow(run, "a long, b long")
 
 
 def joined(comp: DataFrame | None, links: DataFrame) -> DataFrame:

@@ -106,3 +106,23 @@ def test_an_original_links_its_copies_at_once(spark):
     rows = [(1000 - i, t) for i, t in enumerate([*texts, " ".join(base)])]
     got = minhash.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["component_id"] for r in got} == {min(i for i, _ in rows)}
+
+
+def test_open_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """Chains whose links no centre finds, in buckets of several blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, "STARS", 1)
+    words = [f"w{i}" for i in range(260)]
+    rows = [(i, " ".join(words[i * 3:i * 3 + 60])) for i in range(60)]       # neighbours resemble each other, ends do not
+    rows += [(100 + i, " ".join(words[:20] + [f"x{i}y{j}" for j in range(40)])) for i in range(30)]   # a shared passage, no links
+    got = {r["doc_id"]: r["component_id"] for r in minhash.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: set(minhash.shingles(t).tolist()) for i, t in rows}
+    up = {i: i for i in sets}
+    for _ in range(60):
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    up[a] = up[b] = min(up[a], up[b])
+        if all(up[up[i]] == up[i] for i in up):
+            break
+    assert got == up
