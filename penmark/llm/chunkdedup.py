@@ -6,9 +6,15 @@ the chunks next to it.  Chunks are compared by digest across all documents;
 of equal chunks the one in the first row stays.  Runs of removable chunks of
 ``min_run`` bytes or more are cut out, shorter ones stay.
 
+Most chunks occur once.  A first pass counts 8-byte hashes alone; those that
+occur again mark a bitmap of fixed size, and only chunks it lets through (a false
+hit is sorted out by its digest) are compared by digest.  Texts without a repeated
+chunk go from the reader to the result; only the others meet their spans.
+
 Defined results: a null text stays null, an empty one empty, both with nothing
 removed; repeated rows are different documents, so the later one loses what it
-shares with the first; extra columns are kept as they are.
+shares with the first; extra columns are kept as they are; very long texts are read
+whole; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -21,8 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 from penmark.llm.common import by_bytes, mix64, numbered
+from penmark.session import cut_lineage
 
 #: The gear hash of a position depends on its last 16 bytes: what a repeated
 #: passage loses before its first boundary grows with the reach.
@@ -32,6 +40,8 @@ GEAR = (mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 AVERAGE_BITS = 4
 LEAST, MOST = 16, 256
 MIN_RUN = 120
+#: Bits of a hash that address a bitmap (8 MB).
+BITS = 26
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -67,19 +77,64 @@ def chunk_ends(data: bytes, bits: int = AVERAGE_BITS, least: int = LEAST, most:
     return ends
 
 
+def text_parts(batch: pa.RecordBatch):
+    """(index, bytes) of a batch's texts, in runs of bounded bytes."""
+    texts = batch.column(1).cast(pa.binary()).to_pylist()
+    for lo, hi in by_bytes(texts):
+        yield [(i, texts[i] or b"") for i in range(lo, hi)]
+
+
+def repeated_hashes(rows: DataFrame, **size) -> np.ndarray:
+    """Bitmap of the hashes of chunks that occur more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in text_parts(b):
+                h = []
+                for _, data in part:
+                    at = 0
+                    for e in chunk_ends(data, **size):
+                        h.append(xxh3_64_intdigest(data[at:e]))
+                        at = e
+                u, n = np.unique(np.array(h, np.uint64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int64))], names=["h", "n"])
+
+    hashes = rows.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    return bitmap(hashes.select("h"))
+
+
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """The top ``BITS`` bits of hashes (h) as a bitmap, set by Spark, 64 bits a row."""
+    at = F.shiftrightunsigned("h", 64 - BITS)
+    words = hashes.select(F.shiftright(at, 6).alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - BITS}) & 63 as int))").alias("bit"))
+    t = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (BITS - 6), np.uint64)
+    out[t["w"].to_numpy()] = t["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = h >> np.uint64(64 - BITS)
+    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
 def chunks(rows: DataFrame, **size) -> DataFrame:
-    """(__pm_row, start, length, d1, d2, again): one row per chunk; ``again``
-    marks a chunk that its own document holds earlier."""
+    """(__pm_row, start, length, d1, d2, again): one row per chunk that may occur
+    elsewhere; ``again`` marks a chunk that its own document holds earlier."""
+    rows = rows.select("__pm_row", "text")
+    shared = rows.sparkSession.sparkContext.broadcast(repeated_hashes(rows, **size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for b in batches:
-            texts = b.column(1).cast(pa.binary())
-            for lo, hi in by_bytes([t.as_py() for t in texts]):
+            for part in text_parts(b):
                 owner, start, length, dig, again = [], [], [], [], []
-                for i in range(lo, hi):
-                    data = texts[i].as_py() or b""
-                    seen, at = set(), 0
-                    for e in chunk_ends(data, **size):
+                for i, data in part:
+                    ends = np.array(chunk_ends(data, **size), np.int64)
+                    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+                    h = np.fromiter((xxh3_64_intdigest(data[x:y]) for x, y in zip(begins.tolist(), ends.tolist())), np.uint64, len(ends))
+                    seen = set()
+                    for at, e in zip(*[v[marked(bits, h)].tolist() for v in (begins[:len(ends)], ends)]):
                         d = hashlib.blake2b(data[at:e], digest_size=16).digest()
                         owner.append(i)
                         start.append(at)
@@ -87,7 +142,6 @@ def chunks(rows: DataFrame, **size) -> DataFrame:
                         dig.append(d)
                         again.append(d in seen)
                         seen.add(d)
-                        at = e
                 two = np.frombuffer(b"".join(dig), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(owner, pa.int32())), pa.array(start, pa.int32()),
@@ -95,8 +149,7 @@ def chunks(rows: DataFrame, **size) -> DataFrame:
                      pa.array(again, pa.bool_())],
                     names=["__pm_row", "start", "length", "d1", "d2", "again"])
 
-    return rows.select("__pm_row", "text").mapInArrow(
-        run, "__pm_row long, start int, length int, d1 long, d2 long, again boolean")
+    return rows.mapInArrow(run, "__pm_row long, start int, length int, d1 long, d2 long, again boolean")
 
 
 def removable(found: DataFrame) -> DataFrame:
@@ -133,10 +186,23 @@ def dedup(docs: DataFrame, text_col: str = "text", min_run: int = MIN_RUN, **siz
     ``__pm_spans`` (start, length in bytes of the input) added."""
     names = docs.columns
     rows = numbered(docs, *names, name="chunked")
-    if text_col != "text":
-        rows = rows.withColumn("text", F.col(text_col))
-    spans = removable(chunks(rows, **size))
-    joined = rows.join(spans, "__pm_row", "left").drop("__pm_row")
+    spans = removable(chunks(rows.select("__pm_row", F.col(text_col).alias("text")), **size))
+    spans = cut_lineage(spans, "spans")
+    key = F.xxhash64("__pm_row")
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(spans.select(key.alias("h"))))
+    keyed = rows.withColumn("__pm_key", key)
+
+    def side(wanted: bool) -> DataFrame:
+        """The rows that have spans and few others, or the rest."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                has = marked(shared.value, b.column(b.num_columns - 1).to_numpy().view(np.uint64))
+                yield b.filter(pa.array(has if wanted else ~has))
+        return keyed.mapInArrow(run, keyed.schema).drop("__pm_key")
+
+    none = F.lit(None).cast(spans.schema["__pm_spans"].dataType)
+    joined = (side(False).withColumn("__pm_spans", none)
+              .unionByName(side(True).join(spans.hint("merge"), "__pm_row", "left"))).drop("__pm_row")
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())])
     schema = joined.drop("__pm_spans").schema.add("__pm_bytes", "long").add("__pm_removed", "long").add(
         "__pm_cut", T.ArrayType(span))

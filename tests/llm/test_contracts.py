@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from penmark.llm import bytecnn, common, minhash, ordinal, toxicity, vptree
+from penmark.llm import bytecnn, chunkdedup, common, minhash, ordinal, toxicity, vptree
 from penmark.llm.queries import QUERIES, RATING, toxicity_model
 from tests.conftest import SF_SMALL
 
@@ -126,3 +126,21 @@ def test_open_buckets_are_compared_in_blocks(spark, monkeypatch):
         if all(up[up[i]] == up[i] for i in up):
             break
     assert got == up
+
+
+def test_chunk_dedup_keeps_a_callers_text_column(spark):
+    body = " ".join(f"word{i}" for i in range(80))
+    df = spark.createDataFrame([(1, body, "mine"), (2, "intro " + body, "too"), (3, None, None)], "doc_id long, body string, text string")
+    got = {r["doc_id"]: r for r in chunkdedup.dedup(df, text_col="body").collect()}
+    assert got[1]["body"] == body and got[1]["text"] == "mine" and got[2]["text"] == "too" and got[3]["body"] is None
+    assert got[2]["__pm_removed"] > 300 and len(got[2]["body"]) < 200
+    plain = chunkdedup.dedup(df.drop("text"), text_col="body")
+    assert "text" not in plain.columns and plain.count() == 3
+
+
+def test_a_full_bitmap_changes_no_result(spark, monkeypatch):
+    d = docs_of(spark).select("doc_id", "text").limit(60)
+    want = sorted((r["doc_id"], r["__pm_removed"], r["text"]) for r in chunkdedup.dedup(d).collect())
+    monkeypatch.setattr(chunkdedup, "marked", lambda bits, h: np.ones(len(h), bool))
+    assert sorted((r["doc_id"], r["__pm_removed"], r["text"]) for r in chunkdedup.dedup(d).collect()) == want
+    assert any(r[1] for r in want)
