@@ -14,8 +14,8 @@ bucket.  A bucket's members are first checked against a centre, so large groups
 cost one check a member.  The centre is the member that stands in the largest
 buckets: an original that many copies were drawn from shares most of their bands,
 each copy only some of the others'.  Buckets whose members are still of several
-groups are compared in blocks by whole signature, and only pairs that may be links
-leave a block, so none is lost.
+groups are compared in blocks, by whole signature and then by text, and a block
+gives out the links that join its groups.
 
 Pairs are thinned before any text is read: by their sizes (exact), then by whole
 signatures, of which at least ``ALIKE`` of the slots must agree; at 0.75 that
@@ -263,63 +263,101 @@ def linked(buckets: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int,
         now = live.drop("comp").join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
         live = cut_lineage(now.join(open_, "key", "left_semi"), "live")
-    near = cut_lineage(alike(live, sigs, percent).distinct(), "alike")
-    return found.unionByName(cut_lineage(verified(near, texts, percent, k), "links"))
+    return found.unionByName(cut_lineage(alike(live, sigs, texts, percent, k), "links"))
+
+
+CELL = ["key", "i", "j", "block", "node", "n", "comp", "sig"]
+
+
+def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of equal (key, i, j) in sorted rows."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at = np.stack([batch[c].to_numpy() for c in ("key", "i", "j")])
+        cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+        for x, y in zip(cuts, cuts[1:]):
+            if held and tuple(at[:, x]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(x, y - x))
+            last = tuple(at[:, x])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def candidates(cell: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, later rows) of a cell that may link: other groups, fitting sizes, and
+    signatures that agree."""
+    block, n, comp = (cell[c].to_numpy() for c in ("block", "n", "comp"))
+    x = np.frombuffer(b"".join(cell["sig"].to_pylist()), np.uint8).reshape(len(n), -1)
+    apart = cell["i"][0].as_py() != cell["j"][0].as_py()
+    for r in range(len(n) - 1):
+        rest = slice(r + 1, None)
+        ok = (comp[rest] != comp[r]) & (100 * np.minimum(n[rest], n[r]) >= percent * np.maximum(n[rest], n[r]))
+        if apart:
+            ok &= block[rest] != block[r]
+        at = np.flatnonzero(ok) + r + 1
+        if len(at):
+            at = at[(x[at] == x[r]).sum(1) >= ALIKE * x.shape[1]]
+            if len(at):
+                yield r, at
 
 
-def alike(live: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different groups within a bucket whose sizes and signatures
-    allow a link.
+def alike(live: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFrame:
+    """Links (a, b) between groups within a bucket, enough to connect what all
+    its links connect.
 
     A bucket is cut into blocks of about ``BLOCK`` members; a cell holds two
-    blocks, so no task holds a bucket, and only pairs that pass leave it.  Cells
-    are runs of sorted rows, many to a task."""
+    blocks, so no task holds a bucket.  Cells are runs of sorted rows, many to a
+    task.  A first pass keeps the members that may link with any other of their
+    cell; these meet their texts, and a cell gives out only links that join two of
+    its groups, never its pairs."""
     blocks = live.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
     rows = live.select("key", "node", "n", "comp").join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "comp")
-    rows = rows.join(sigs, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-    def cell(i: int, j: int, block, node, n, comp, sig) -> tuple[list, list]:
-        out: tuple[list, list] = ([], [])
-        x = np.frombuffer(b"".join(sig), np.uint8).reshape(len(node), -1)
-        for r in range(len(node) - 1):
-            rest = slice(r + 1, None)
-            ok = (comp[rest] != comp[r]) & (100 * np.minimum(n[rest], n[r]) >= percent * np.maximum(n[rest], n[r]))
-            if i != j:
-                ok &= block[rest] != block[r]
-            at = np.flatnonzero(ok) + r + 1
-            if len(at):
-                at = at[(x[at] == x[r]).sum(1) >= ALIKE * x.shape[1]]
-                out[0].extend(np.minimum(node[at], node[r]).tolist())
-                out[1].extend(np.maximum(node[at], node[r]).tolist())
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def pairs() -> pa.RecordBatch:
-            t = pa.Table.from_batches(held)
-            held.clear()
-            ints = [t[c].to_numpy() for c in ("block", "node", "n", "comp")]
-            a, b = cell(t["i"][0].as_py(), t["j"][0].as_py(), *ints, t["sig"].to_pylist())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = np.stack([batch[c].to_numpy() for c in ("key", "i", "j")])
-            cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
-            for x, y in zip(cuts, cuts[1:]):
-                if held and tuple(at[:, x]) != last:
-                    yield pairs()
-                held.append(batch.slice(x, y - x))
-                last = tuple(at[:, x])
-        if held:
-            yield pairs()
-
-    return rows.select("key", "i", "j", "block", "node", "n", "comp", "sig").mapInArrow(run, "a long, b long")
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in cells(batches):
+            keep = np.zeros(len(cell), bool)
+            for r, at in candidates(cell, percent):
+                keep[r] = keep[at] = True
+            if keep.any():
+                yield from cell.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in cells(batches):
+            node, comp = cell["node"].to_numpy(), cell["comp"].to_pylist()
+            sets = [shingles(t, k) for t in cell["text"].to_pylist()]
+            up: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while c in up:
+                    c = up[c]
+                return c
+
+            a, b = [], []
+            for r, at in candidates(cell, percent):
+                for o in at.tolist():
+                    x, y = root(comp[r]), root(comp[o])
+                    if x != y:
+                        same = len(np.intersect1d(sets[r], sets[o], assume_unique=True))
+                        if 100 * same >= percent * (len(sets[r]) + len(sets[o]) - same):
+                            up[x] = y
+                            a.append(min(node[r], node[o]))
+                            b.append(max(node[r], node[o]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    shape = "key long, i int, j int, block int, node long, n long, comp long, sig binary"
+    few = cut_lineage(dealt(rows.join(sigs, "node").select(*CELL)).mapInArrow(some, shape), "cells")
+    return dealt(few.join(texts.hint("merge"), "node").select(*CELL, "text")).mapInArrow(links, "a long, b long")
 
 
 def joined(comp: DataFrame | None, links: DataFrame) -> DataFrame:
