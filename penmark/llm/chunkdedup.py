@@ -42,6 +42,7 @@ LEAST, MOST = 16, 256
 MIN_RUN = 120
 #: Bits of a hash that address a bitmap (8 MB).
 BITS = 26
+SLICE_ROWS = 256
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -77,6 +78,13 @@ def chunk_ends(data: bytes, bits: int = AVERAGE_BITS, least: int = LEAST, most:
     return ends
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows: texts are turned into Python values a slice at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(at, SLICE_ROWS)
+
+
 def text_parts(batch: pa.RecordBatch):
     """(index, bytes) of a batch's texts, in runs of bounded bytes."""
     texts = batch.column(1).cast(pa.binary()).to_pylist()
@@ -88,7 +96,7 @@ def repeated_hashes(rows: DataFrame, **size) -> np.ndarray:
     """Bitmap of the hashes of chunks that occur more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             for part in text_parts(b):
                 h = []
                 for _, data in part:
@@ -126,7 +134,7 @@ def chunks(rows: DataFrame, **size) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        for b in batches:
+        for b in slices(batches):
             for part in text_parts(b):
                 owner, start, length, dig, again = [], [], [], [], []
                 for i, data in part:
@@ -195,7 +203,7 @@ def dedup(docs: DataFrame, text_col: str = "text", min_run: int = MIN_RUN, **siz
     def side(wanted: bool) -> DataFrame:
         """The rows that have spans and few others, or the rest."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in slices(batches):
                 has = marked(shared.value, b.column(b.num_columns - 1).to_numpy().view(np.uint64))
                 yield b.filter(pa.array(has if wanted else ~has))
         return keyed.mapInArrow(run, keyed.schema).drop("__pm_key")
@@ -210,7 +218,7 @@ def dedup(docs: DataFrame, text_col: str = "text", min_run: int = MIN_RUN, **siz
     keep = [i for i, c in enumerate(joined.columns) if c != "__pm_spans"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts, spanned = b.column(text_at), b.column(span_at)
             size_, removed, cuts = [], [], []
             new = {}
