@@ -56,7 +56,7 @@ class Words(dict):
     """Word -> 64-bit hash."""
 
     def __missing__(self, w: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 100_000:
             self.clear()
         v = self[w] = xxhash.xxh3_64_intdigest(w)
         return v

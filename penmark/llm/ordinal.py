@@ -47,7 +47,7 @@ class Shapes(dict):
     """Token -> its two buckets: its shape (letter case, digits, marks) in the
     lower half, the lower-cased word in the upper half."""
 
-    def __init__(self, n_buckets: int, most: int = 400_000):
+    def __init__(self, n_buckets: int, most: int = 100_000):
         super().__init__()
         self.n, self.most = n_buckets, most
 

@@ -49,7 +49,7 @@ def buckets(word: str) -> tuple[int, ...]:
 class WordWeights(dict):
     """Word -> its part of a sentence's logit; emptied at ``most`` words."""
 
-    def __init__(self, weights: np.ndarray, most: int = 400_000):
+    def __init__(self, weights: np.ndarray, most: int = 100_000):
         super().__init__()
         self.weights, self.most = weights, most
 
@@ -153,7 +153,7 @@ def score_udf(docs: DataFrame, model: NoisyOr):
     def score(text: pd.Series) -> pd.DataFrame:
         m = NoisyOr(*shared.value)
         weight = _weights(name, m)
-        texts = [t if isinstance(t, str) else None for t in text.tolist()]
+        texts = [t if isinstance(t, str) else None for t in text]
         scores, spans = np.zeros(len(texts)), [[] for _ in texts]
         for lo, hi in by_bytes(texts):
             words, sent, sdoc = bags(texts[lo:hi])
