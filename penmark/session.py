@@ -15,6 +15,10 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows that go to a Python worker at once; Spark's own 10,000 are 30 MB of text or more.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def build_session(master: str | None = None, app: str = "penmark",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -32,7 +36,7 @@ def build_session(master: str | None = None, app: str = "penmark",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+        ARROW_ROWS: "2048",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -57,8 +61,11 @@ def ship_package(spark: SparkSession) -> None:
     inference) are pickled by reference to their module, so every worker must
     be able to import ``penmark``.  A zip of the package is registered with
     ``addPyFile`` (Spark ships it to every executor) once per application.
+    A session that leaves Spark's batch size for the workers gets the package's.
     """
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "2048")
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))
