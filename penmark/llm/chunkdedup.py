@@ -208,12 +208,13 @@ def dedup(docs: DataFrame, text_col: str = "text", min_run: int = MIN_RUN, **siz
                 yield b.filter(pa.array(has if wanted else ~has))
         return keyed.mapInArrow(run, keyed.schema).drop("__pm_key")
 
-    none = F.lit(None).cast(spans.schema["__pm_spans"].dataType)
-    joined = (side(False).withColumn("__pm_spans", none)
-              .unionByName(side(True).join(spans.hint("merge"), "__pm_row", "left"))).drop("__pm_row")
-    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())])
-    schema = joined.drop("__pm_spans").schema.add("__pm_bytes", "long").add("__pm_removed", "long").add(
-        "__pm_cut", T.ArrayType(span))
+    span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())]))
+    # the rest needs no second worker: its sums are columns
+    rest = (side(False).drop("__pm_row")
+            .withColumn("__pm_bytes", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long"))
+            .withColumn("__pm_removed", F.lit(0).cast("long")).withColumn("__pm_cut", F.array().cast(span)))
+    joined = side(True).join(spans.hint("merge"), "__pm_row", "left").drop("__pm_row")
+    schema = joined.drop("__pm_spans").schema.add("__pm_bytes", "long").add("__pm_removed", "long").add("__pm_cut", span)
     text_at, span_at = joined.columns.index(text_col), joined.columns.index("__pm_spans")
     keep = [i for i, c in enumerate(joined.columns) if c != "__pm_spans"]
 
@@ -247,5 +248,5 @@ def dedup(docs: DataFrame, text_col: str = "text", min_run: int = MIN_RUN, **siz
                      pa.array(cuts, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))]
             yield pa.RecordBatch.from_arrays(cols, names=[f"c{i}" for i in range(len(cols))])
 
-    out = joined.mapInArrow(cut, schema)
+    out = rest.unionByName(joined.mapInArrow(cut, schema))
     return out.withColumnRenamed("__pm_cut", "__pm_spans")
