@@ -42,6 +42,9 @@ LEAST, MOST = 16, 256
 MIN_RUN = 120
 #: Bits of a hash that address a bitmap (8 MB).
 BITS = 26
+#: A chunk that more than 1 in ``HOT_SHARE`` chunks equal (and ``HOT_LEAST`` do) is
+#: joined in ``SALTS`` parts; no more than ``HOT_SHARE`` chunks can be that frequent.
+HOT_SHARE, HOT_LEAST, SALTS = 1 << 16, 1 << 12, 64
 SLICE_ROWS = 256
 
 
@@ -92,8 +95,8 @@ def text_parts(batch: pa.RecordBatch):
         yield [(i, texts[i] or b"") for i in range(lo, hi)]
 
 
-def repeated_hashes(rows: DataFrame, **size) -> np.ndarray:
-    """Bitmap of the hashes of chunks that occur more than once."""
+def repeated_hashes(rows: DataFrame, **size) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of the hashes of chunks that occur more than once, and of the hot ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -105,20 +108,26 @@ def repeated_hashes(rows: DataFrame, **size) -> np.ndarray:
                         h.append(xxh3_64_intdigest(data[at:e]))
                         at = e
                 u, n = np.unique(np.array(h, np.uint64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int64))], names=["h", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
     hashes = rows.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
-    return bitmap(hashes.select("h"))
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    hot = max(HOT_LEAST, n_bytes // (size.get("least", LEAST) * HOT_SHARE))
+    return bitmaps(hashes.select("h", (F.col("n") > hot).alias("hot")))
 
 
-def bitmap(hashes: DataFrame) -> np.ndarray:
-    """The top ``BITS`` bits of hashes (h) as a bitmap, set by Spark, 64 bits a row."""
+def bitmaps(hashes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The top ``BITS`` bits of hashes (h) as a bitmap, set by Spark, 64 bits a row;
+    a second one of those marked ``hot``."""
     at = F.shiftrightunsigned("h", 64 - BITS)
-    words = hashes.select(F.shiftright(at, 6).alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - BITS}) & 63 as int))").alias("bit"))
-    t = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (BITS - 6), np.uint64)
-    out[t["w"].to_numpy()] = t["bits"].to_numpy().view(np.uint64)
-    return out
+    words = hashes.select(F.shiftright(at, 6).alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - BITS}) & 63 as int))").alias("bit"), "hot")
+    t = words.groupBy("w").agg(F.bit_or("bit").alias("all"), F.coalesce(F.bit_or(F.expr("if(hot, bit, 0L)")), F.lit(0)).alias("hot")).toArrow()
+    out = []
+    for name in ("all", "hot"):
+        bits = np.zeros(1 << (BITS - 6), np.uint64)
+        bits[t["w"].to_numpy()] = t[name].to_numpy().view(np.uint64)
+        out.append(bits)
+    return out[0], out[1]
 
 
 def marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -127,22 +136,25 @@ def marked(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def chunks(rows: DataFrame, **size) -> DataFrame:
-    """(__pm_row, start, length, d1, d2, again): one row per chunk that may occur
-    elsewhere; ``again`` marks a chunk that its own document holds earlier."""
+    """(__pm_row, start, length, d1, d2, again, hot): one row per chunk that may occur
+    elsewhere; ``again`` marks a chunk that its own document holds earlier, ``hot`` one
+    whose hash is among the hot (equal chunks are marked alike)."""
     rows = rows.select("__pm_row", "text")
     shared = rows.sparkSession.sparkContext.broadcast(repeated_hashes(rows, **size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        bits, hot_bits = shared.value
         for b in slices(batches):
             for part in text_parts(b):
-                owner, start, length, dig, again = [], [], [], [], []
+                owner, start, length, dig, again, hot = [], [], [], [], [], []
                 for i, data in part:
                     ends = np.array(chunk_ends(data, **size), np.int64)
                     begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                     h = np.fromiter((xxh3_64_intdigest(data[x:y]) for x, y in zip(begins.tolist(), ends.tolist())), np.uint64, len(ends))
                     seen = set()
-                    for at, e in zip(*[v[marked(bits, h)].tolist() for v in (begins[:len(ends)], ends)]):
+                    found = marked(bits, h)
+                    hot += marked(hot_bits, h[found]).tolist()
+                    for at, e in zip(begins[:len(ends)][found].tolist(), ends[found].tolist()):
                         d = hashlib.blake2b(data[at:e], digest_size=16).digest()
                         owner.append(i)
                         start.append(at)
@@ -154,18 +166,20 @@ def chunks(rows: DataFrame, **size) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(owner, pa.int32())), pa.array(start, pa.int32()),
                      pa.array(length, pa.int32()), pa.array(two[:, 0].copy()), pa.array(two[:, 1].copy()),
-                     pa.array(again, pa.bool_())],
-                    names=["__pm_row", "start", "length", "d1", "d2", "again"])
+                     pa.array(again, pa.bool_()), pa.array(hot, pa.bool_())],
+                    names=["__pm_row", "start", "length", "d1", "d2", "again", "hot"])
 
-    return rows.mapInArrow(run, "__pm_row long, start int, length int, d1 long, d2 long, again boolean")
+    return rows.mapInArrow(run, "__pm_row long, start int, length int, d1 long, d2 long, again boolean, hot boolean")
 
 
 def removable(found: DataFrame) -> DataFrame:
     """(__pm_row, spans): chunks that an earlier row, or the same row before,
-    also holds, gathered per row."""
-    first = (found.groupBy("d1", "d2").agg(F.min("__pm_row").alias("__pm_first"), F.count(F.lit(1)).alias("__pm_n"))
-             .where("__pm_n > 1").drop("__pm_n"))
-    return (found.join(first, ["d1", "d2"])
+    also holds, gathered per row.  A hot chunk meets its first row in ``SALTS`` parts."""
+    first = (found.groupBy("d1", "d2", "hot").agg(F.min("__pm_row").alias("__pm_first"), F.count(F.lit(1)).alias("__pm_n"))
+             .where("__pm_n > 1").drop("__pm_n")
+             .withColumn("__pm_part", F.explode(F.expr(f"sequence(0, if(hot, {SALTS - 1}, 0))"))))
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("__pm_row", "start"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    return (found.withColumn("__pm_part", part).join(first.drop("hot"), ["d1", "d2", "__pm_part"])
             .where("again or __pm_row <> __pm_first")
             .groupBy("__pm_row").agg(F.collect_list(F.struct("start", "length")).alias("__pm_spans")))
 
@@ -197,7 +211,7 @@ def dedup(docs: DataFrame, text_col: str = "text", min_run: int = MIN_RUN, **siz
     spans = removable(chunks(rows.select("__pm_row", F.col(text_col).alias("text")), **size))
     spans = cut_lineage(spans, "spans")
     key = F.xxhash64("__pm_row")
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(spans.select(key.alias("h"))))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmaps(spans.select(key.alias("h"), F.lit(False).alias("hot")))[0])
     keyed = rows.withColumn("__pm_key", key)
 
     def side(wanted: bool) -> DataFrame:

@@ -138,6 +138,17 @@ def test_chunk_dedup_keeps_a_callers_text_column(spark):
     assert "text" not in plain.columns and plain.count() == 3
 
 
+def test_hot_chunks_meet_their_first_row_in_parts(spark, monkeypatch):
+    common = " ".join(f"shared{i} line{i * 7}" for i in range(40))
+    d = spark.createDataFrame([(i, f"{common} own{i} " * (1 + i % 2)) for i in range(80)] + [(90, None), (91, "")], "doc_id long, text string")
+    want = sorted((r["doc_id"], r["__pm_removed"], r["text"] or "") for r in chunkdedup.dedup(d).collect())
+    monkeypatch.setattr(chunkdedup, "HOT_LEAST", 40)
+    hashes = chunkdedup.repeated_hashes(d.select(F.col("doc_id").alias("__pm_row"), "text"))
+    assert all(b.any() for b in hashes) and not (hashes[1] & ~hashes[0]).any()
+    assert sorted((r["doc_id"], r["__pm_removed"], r["text"] or "") for r in chunkdedup.dedup(d).collect()) == want
+    assert sum(r[1] > 0 for r in want) >= 79
+
+
 def test_a_full_bitmap_changes_no_result(spark, monkeypatch):
     d = docs_of(spark).select("doc_id", "text").limit(60)
     want = sorted((r["doc_id"], r["__pm_removed"], r["text"]) for r in chunkdedup.dedup(d).collect())
