@@ -10,13 +10,14 @@ one document or several, and removes the bytes such strings cover.
 2. *Shards.*  Equal fragments are counted, one of each goes on.  The fragments of
    an anchor meet in one bin of bounded size.
 3. *Merge.*  A bin's shards get a Burrows-Wheeler transform each, over symbols of
-   ``STEP`` bytes: their suffixes in order, each with the symbol before it.  The
-   shards' orders are interleaved and the interleave is refined: a pass reads
-   the transforms in the order so far and deals the preceding suffixes out by
-   their symbol, which makes the order right for ``STEP`` more bytes, without
-   comparing suffixes.  Borders between unlike suffixes give the common
-   prefixes; suffixes alone between two borders drop out.  After ``length``
-   bytes an interval with two occurrences or more is a repeat.
+   ``STEP`` bytes: the symbol before each suffix of the shard, in the suffixes'
+   order.  The merge sees the transforms alone: an interleave of the shards' orders
+   is refined, a pass reads the transforms in the interleave so far and deals the
+   places out by the symbols read, which makes it right for ``STEP`` more bytes,
+   without comparing or sorting suffixes of different shards.  Borders between
+   unlike suffixes give the common prefixes; suffixes alone between two borders
+   drop out.  After ``length`` bytes an interval with two occurrences or more is a
+   repeat.
 4. An anchor with more fragments than a bin may hold is split by the bytes that
    all windows of a short run share, down to single windows, whose equal copies
    are simply counted; no copy is left out.
@@ -48,6 +49,8 @@ SHARD_BYTES = 128 << 10
 BIN_BYTES = 1 << 20
 #: Windows per piece when an anchor's fragments exceed a bin.
 WIDTHS = (16, 1)
+#: A key that more than 1 in so many rows have is hot; there are never more such keys.
+HOT = 4096
 _POS = np.uint64((1 << 24) - 1)
 _SEGMENT = 4 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -130,95 +133,146 @@ def _deal(keys: np.ndarray) -> np.ndarray:
     return order
 
 
-def symbols(text: np.ndarray) -> np.ndarray:
-    """Rank of the STEP bytes from each position on (the end padded by zeros)."""
+def letters(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The STEP bytes from each position on as two whole numbers (the end padded by zeros)."""
     padded = np.concatenate((text, np.zeros(STEP, np.uint8)))
     eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
     word = np.zeros(len(text) + 8, np.uint64)
     for j in range(8):
         word = (word << np.uint64(8)) | eight[:len(text) + 8, j].astype(np.uint64)
-    hi, lo = word[:len(text)], word[8:8 + len(text)]
-    order = np.lexsort((lo, hi))
-    new = np.ones(len(text), bool)
-    new[1:] = (hi[order][1:] != hi[order][:-1]) | (lo[order][1:] != lo[order][:-1])
-    rank = np.empty(len(text), np.int64)
-    rank[order] = np.cumsum(new) - 1
+    return word[:len(text)], word[8:8 + len(text)]
+
+
+def _ranks(new: np.ndarray, order: np.ndarray) -> np.ndarray:
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new)
     return rank
 
 
-def refine(order: np.ndarray, rank: np.ndarray, room: np.ndarray, left: np.ndarray, length: int,
-           every: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Refine an interleave of suffixes to the order of their first ``length``
-    bytes; (suffixes, border before each).
+class Shard:
+    """Burrows-Wheeler transform of some fragments over symbols of STEP bytes.
 
-    ``order``: all suffixes, shard by shard in each shard's order.  ``rank``: the
-    symbol at each position; ``room`` and ``left``: bytes from a position to the
-    start and the end of its fragment.  The first pass deals the suffixes out by
-    their own symbol, every further one replaces each by the suffix STEP bytes
-    before it and deals by that symbol.  Suffixes that stand alone between
-    borders drop out, unless ``every``.
+    ``suffix``: positions in the order of the ``length`` bytes from them on (ties by
+    position), fragment ends first; ``before``: the symbol that precedes each, as its
+    number in the shard's own sorted ``alphabet``, 0 at the start of a fragment;
+    ``back``: the place, in this order, of the suffix that begins with that symbol.
+    ``back`` is counted from ``before`` alone: the n-th occurrence of a symbol there is
+    the n-th suffix that begins with it.
+    """
+
+    def __init__(self, text: np.ndarray, room: np.ndarray, left: np.ndarray, length: int):
+        size = len(text)
+        hi, lo = letters(text)
+        at = np.flatnonzero(left >= STEP)
+        at = at[np.lexsort((lo[at], hi[at]))]
+        new = np.ones(len(at), bool)
+        new[1:] = (hi[at][1:] != hi[at][:-1]) | (lo[at][1:] != lo[at][:-1])
+        self.alphabet = hi[at[new]], lo[at[new]]
+        code = np.zeros(size, np.int64)
+        code[at] = np.cumsum(new)
+        rank, span = code, STEP
+        order = np.argsort(rank, kind="stable")
+        while span < length:                # the order by twice as many bytes from that by span bytes
+            longer = np.flatnonzero(left >= span)
+            key = rank * (size + 1)
+            key[longer] += rank[longer + span]
+            order = np.argsort(key, kind="stable")
+            new = np.zeros(size, bool)
+            new[1:] = key[order][1:] != key[order][:-1]
+            rank, span = _ranks(new, order), 2 * span
+        self.suffix = order
+        starts = room[order] < STEP
+        self.before = np.where(starts, 0, code[np.where(starts, 0, order - STEP)])
+        self.back = np.empty(size, np.int64)
+        self.back[_deal(self.before)] = np.arange(size)
+
+
+def common_alphabet(shards: list[Shard]) -> list[np.ndarray]:
+    """For each shard the numbers of its symbols in the alphabet of all: sorted lists merged."""
+    hi = np.concatenate([s.alphabet[0] for s in shards])
+    lo = np.concatenate([s.alphabet[1] for s in shards])
+    order = np.argsort(hi, kind="stable")           # runs in order: merged, not sorted
+    h = hi[order]
+    tied = np.zeros(len(h), bool)
+    tied[1:] = h[1:] == h[:-1]
+    tied[:-1] |= tied[1:]
+    some = np.flatnonzero(tied)
+    order[some] = order[some][np.lexsort((lo[order[some]], h[some]))]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (lo[order][1:] != lo[order][:-1])
+    return np.split(_ranks(new, order), np.cumsum([len(s.alphabet[0]) for s in shards])[:-1])
+
+
+def interleave(shards: list[Shard], length: int) -> list[np.ndarray]:
+    """For each shard the common prefix, in whole symbols up to ``length`` bytes, that
+    each place of its order shares with any other suffix of any shard.
+
+    At first the shards' orders stand one behind the other.  A pass reads the
+    transforms in the interleave so far, each shard's from front to back, and deals
+    the places by the symbol read; that is the interleave for one symbol more.
+    Borders lie between places whose symbols, or whose intervals before, differ; a
+    place alone between two borders drops out with the prefix it has shared.
     """
     assert length % STEP == 0, "the length is whole symbols"
-    before = order[left[order] >= STEP]
-    block = np.zeros(len(before), np.int64)
-    done = 0
-    while True:
-        key = rank[before]
-        dealt = _deal(key)
-        order, key, block = before[dealt], key[dealt], block[dealt]
-        border = np.ones(len(order), bool)
-        border[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
-        if not every:
-            alone = border & np.append(border[1:], True)[:len(border)]
-            order, border = order[~alone], border[~alone]
-        done += STEP
-        if done == length or not len(order):
-            return order, border
-        ok = room[order] >= STEP
-        block = np.cumsum(border)[ok]
-        before = order[ok] - STEP
-
-
-def shard_transform(start: int, stop: int, rank: np.ndarray, room: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
-    """The suffixes of one shard in the order of its transform: those with
-    ``length`` bytes sorted by them, behind them the shorter tails as they are."""
-    own = np.arange(start, stop)
-    order, _ = refine(own, rank, room, left, length, every=True)
-    rest = np.ones(stop - start, bool)
-    rest[order - start] = False
-    return np.concatenate((order, own[rest]))
+    numbers = common_alphabet(shards)
+    sizes = np.cumsum([0] + [len(s.suffix) for s in shards])
+    before = np.concatenate([np.concatenate(([0], n))[s.before] for s, n in zip(shards, numbers)])
+    back = np.concatenate([s.back + at for s, at in zip(shards, sizes)])
+    shared = np.zeros(sizes[-1], np.int64)
+    place = np.arange(sizes[-1])
+    block = np.zeros(len(place), np.int64)
+    for done in range(STEP, length + 1, STEP):
+        symbol = before[place]
+        on = symbol > 0
+        place, block, symbol = place[on], block[on], symbol[on]
+        dealt = _deal(symbol)
+        place, block, symbol = back[place[dealt]], block[dealt], symbol[dealt]
+        border = np.ones(len(place), bool)
+        border[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
+        more = ~(border & np.append(border[1:], True)[:len(border)])
+        place, block = place[more], np.cumsum(border)[more]
+        shared[place] = done
+        if not len(place):
+            break
+    return np.split(shared, sizes[1:-1])
 
 
 def repeats(parts: list[bytes], copies: list[int], length: int = LENGTH) -> list[list[tuple[int, int]]]:
     """For each part: the byte ranges (start, stop) covered by strings of
     ``length`` bytes with two occurrences or more, a part counting as often as
     it has copies."""
-    lens = np.array([len(p) for p in parts])
-    text = np.frombuffer(b"".join(parts), np.uint8)
-    first = np.concatenate(([0], np.cumsum(lens)))
-    part = np.repeat(np.arange(len(parts)), lens)
-    here = np.arange(len(text))
-    room, left = here - first[part], first[part + 1] - here
-    rank = symbols(text)
-    shards, at = [], 0
-    for i in range(len(parts)):
-        if first[i + 1] - at >= SHARD_BYTES or i == len(parts) - 1:
-            shards.append(shard_transform(at, first[i + 1], rank, room, left, length))
-            at = first[i + 1]
-    order, _ = refine(np.concatenate(shards), rank, room, left, length)
-    # every suffix left is a whole window that another one equals
-    hit = np.zeros(len(text), bool)
-    hit[order] = True
-    alone = np.flatnonzero(np.array(copies) >= 2)
-    for i in alone:                         # a part with copies repeats wherever it holds a whole window
-        hit[first[i]:max(first[i], first[i + 1] - length + 1)] = True
-    out = [[] for _ in parts]
-    at = np.flatnonzero(hit)
-    if len(at):
-        cut = np.flatnonzero((np.diff(at) > 1) | (np.diff(part[at]) != 0)) + 1
-        for s, e in zip(at[np.concatenate(([0], cut))], at[np.append(cut - 1, len(at) - 1)]):
-            i = part[s]
-            out[i].append((int(s - first[i]), int(e - first[i] + length)))
+    shards, held, size = [], [], 0
+
+    def close(stop: int) -> None:
+        lens = np.array([len(p) + 1 for p in parts[len(held):stop]])        # the place after the last byte is a suffix too
+        first = np.concatenate(([0], np.cumsum(lens)))
+        part = np.repeat(np.arange(len(lens)), lens)
+        here = np.arange(first[-1])
+        text = np.frombuffer(b"".join(p + b"\0" for p in parts[len(held):stop]), np.uint8)
+        shards.append(Shard(text, here - first[part], first[part + 1] - 1 - here, length))
+        held.extend((len(shards) - 1, f) for f in first[:-1])
+
+    for i, p in enumerate(parts):
+        size += len(p) + 1
+        if size >= SHARD_BYTES:
+            close(i + 1)
+            size = 0
+    if len(held) < len(parts):
+        close(len(parts))
+    common = []
+    for shard, shared in zip(shards, interleave(shards, length)):
+        common.append(np.empty(len(shared), np.int64))
+        common[-1][shard.suffix] = shared
+    out = []
+    for (shard, first), p, n in zip(held, parts, copies):
+        windows = max(0, len(p) - length + 1)
+        if n > 1:                           # a part with copies repeats wherever it holds a whole window
+            out.append([(0, len(p))] if windows else [])
+            continue
+        at = np.flatnonzero(common[shard][first:first + windows] >= length)
+        cut = np.flatnonzero(np.diff(at) > 1)
+        out.append([(int(at[s]), int(at[e]) + length) for s, e in
+                    zip(np.append(0, cut + 1), np.append(cut, len(at) - 1))] if len(at) else [])
     return out
 
 
@@ -229,8 +283,23 @@ _KEY = ["g1", "g2", "d1", "d2"]
 def sized(shards: DataFrame, size: str) -> DataFrame:
     """Distinct fragments, without their bytes, with their group's ``group_n``
     (how many) and ``group_bytes``; written, since several steps follow."""
-    groups = shards.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("group_n"), F.sum(size).alias("group_bytes"))
-    return cut_lineage(shards.join(groups, ["g1", "g2"]), "sized")
+    shards = cut_lineage(shards, "distinct")
+    groups = cut_lineage(shards.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("group_n"), F.sum(size).alias("group_bytes"),
+                                                        F.count(F.lit(1)).alias("__pm_n")), "groups")
+    return cut_lineage(by_key(shards, groups, ["g1", "g2"], "__pm_n"), "sized")
+
+
+def by_key(rows: DataFrame, keyed: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """``rows`` joined with ``keyed`` (a row for each key; ``n`` rows have it).
+
+    The rows of a key that more than 1 in ``HOT`` rows have stay where they are:
+    there are fewer than ``HOT`` such keys, which are sent to every task.  All
+    others meet by shuffle.  ``keyed`` must be a written table."""
+    least = (keyed.agg(F.sum(n)).first()[0] or 0) // HOT
+    hot = F.broadcast(keyed.where(F.col(n) > least).drop(n))
+    rest = keyed.where(F.col(n) <= least).drop(n)
+    few = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(hot, keys).unionByName(few.join(rest.hint("merge"), keys))
 
 
 def lone(shards: DataFrame, size: str) -> DataFrame:
@@ -330,8 +399,8 @@ def spans(docs: DataFrame, length: int = LENGTH, bin_bytes: int = BIN_BYTES) ->
     """(candidates, ranges, keys): documents with an anchor that occurs twice
     (id, text, key), byte ranges to remove by key, and the candidates' keys."""
     occ = cut_lineage(occurrences(docs, length), "fragments")
-    twice = occ.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
-    again = cut_lineage(occ.join(twice, "g"), "again")
+    twice = cut_lineage(occ.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "twice")
+    again = cut_lineage(by_key(occ, twice, ["g"], "c"), "again")
     shards = (again.groupBy(F.col("g").alias("g1"), F.lit(0).cast("long").alias("g2"), "d1", "d2")
               .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("__pm_h", "__pm_id", "start", "n")).alias("rep")))
     shards = sized(shards, "rep.n")
@@ -360,8 +429,10 @@ def spans(docs: DataFrame, length: int = LENGTH, bin_bytes: int = BIN_BYTES) ->
         fetch, "g1 long, g2 long, d1 long, d2 long, m long, group_bytes long, data binary"), "shards")
     total = many.where(F.col("group_bytes") <= bin_bytes).agg(F.sum("rep.n")).first()[0] or 0
     found = lone(shards, "rep.n").unionByName(solve(frags, total, length, bin_bytes=bin_bytes))
-    found = found.select(F.col("g1").alias("g"), "d1", "d2", "ranges")
-    ranges = (again.join(found, ["g", "d1", "d2"])
+    found = cut_lineage(found.join(shards.select("g1", "g2", "d1", "d2", "m").hint("merge"), _KEY)
+                        .select(F.col("g1").alias("g"), "d1", "d2", "ranges", "m"), "found")
+    # a fragment's windows share an anchor, so it is shorter than two windows and its ranges are few
+    ranges = (by_key(again, found, ["g", "d1", "d2"], "m")
               .select("__pm_id", "__pm_h", "start", F.explode("ranges").alias("r"))
               .groupBy("__pm_id", "__pm_h")
               .agg(F.collect_list(F.struct((F.col("start") + F.col("r.a")).alias("a"),

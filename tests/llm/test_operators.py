@@ -518,6 +518,70 @@ def test_merge_of_shards_equals_brute_force(monkeypatch):
         assert {x for a, b in r for x in range(a, b)} == hit
 
 
+def shared_prefixes(shard_parts, length=400):
+    """(position, whole symbols' bytes shared with any other suffix) of every shard, by its transforms and by brute force."""
+    shards, texts = [], []
+    for parts in shard_parts:
+        lens = np.array([len(p) + 1 for p in parts])
+        first = np.concatenate(([0], np.cumsum(lens)))
+        part = np.repeat(np.arange(len(parts)), lens)
+        here = np.arange(first[-1])
+        text = np.frombuffer(b"".join(p + b"\0" for p in parts), np.uint8)
+        shards.append(bwtdedup.Shard(text, here - first[part], first[part + 1] - 1 - here, length))
+        texts.append([p[i:] for p in parts for i in range(len(p) + 1)])
+    seen = Counter(t[:n] for ts in texts for t in ts for n in range(16, length + 1, 16) if len(t) >= n)
+    brute = [[max((n for n in range(16, length + 1, 16) if len(t) >= n and seen[t[:n]] > 1), default=0) for t in ts] for ts in texts]
+    return shards, brute
+
+
+def by_position(shards, length=400):
+    out = []
+    for s, shared in zip(shards, bwtdedup.interleave(shards, length)):
+        out.append(np.empty(len(shared), int))
+        out[-1][s.suffix] = shared
+    return [x.tolist() for x in out]
+
+
+def test_interleave_gives_common_prefixes():
+    rng = random.Random(21)
+    p = prose(rng, 130)
+    cuts = [(0, 500), (40, 520), (90, 480), (0, 470), (200, 620)]
+    parts = [(prose(rng, 6) + p[a:b]).encode() for a, b in cuts]
+    for groups in ([parts], [parts[:2], parts[2:4], parts[4:]], [[x] for x in parts], [[b"short"], parts, [b""], [b"z" * 460]]):
+        shards, brute = shared_prefixes(groups)
+        assert by_position(shards) == brute
+
+
+def test_merge_reads_the_shards_order():
+    """The merge knows the transforms only: with a shard's order disturbed it goes wrong."""
+    rng = random.Random(22)
+    p = prose(rng, 130)
+    groups = [[(prose(rng, 6) + p[a:a + 470]).encode()] for a in (0, 30, 60)]
+    shards, brute = shared_prefixes(groups)
+    assert by_position(shards) == brute
+    for s in shards:
+        mixed = np.random.default_rng(1).permutation(len(s.suffix))
+        s.suffix, s.before = s.suffix[mixed], s.before[mixed]
+        s.back[bwtdedup._deal(s.before)] = np.arange(len(s.before))
+    assert by_position(shards) != brute
+
+
+def test_repeats_on_documents_at_sf001(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in bwtdedup.dedup(docs).collect()}
+    rows = docs.collect()
+    assert got == {r.doc_id: x for r, x in zip(rows, brute_repeats([r.text for r in rows], 400))}
+
+
+def test_hot_keys_join_like_the_others(spark):
+    rows = spark.range(30_000).select((F.col("id") % 3 * F.col("id")).alias("g"), "id")
+    from penmark.session import cut_lineage
+    keyed = cut_lineage(rows.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.max("id").alias("top")), "keyed")
+    got = bwtdedup.by_key(rows, keyed, ["g"], "c")
+    assert got.columns == ["g", "id", "top"]
+    assert got.exceptAll(rows.join(keyed.drop("c"), "g")).count() == 0 and got.count() == 30_000
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):
