@@ -51,6 +51,7 @@ BIN_BYTES = 1 << 20
 WIDTHS = (16, 1)
 #: A key that more than 1 in so many rows have is hot; there are never more such keys.
 HOT = 4096
+HOT_PARTS = 64
 _POS = np.uint64((1 << 24) - 1)
 _SEGMENT = 4 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -126,21 +127,24 @@ def occurrences(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _deal(keys: np.ndarray) -> np.ndarray:
-    """Stable order of small whole numbers, by counting 16 bits at a time."""
-    order = np.argsort((keys & 0xFFFF).astype(np.uint16), kind="stable")
-    if len(keys) and keys.max() > 0xFFFF:
-        order = order[np.argsort((keys[order] >> 16).astype(np.uint16), kind="stable")]
-    return order
+    """Stable order of small whole numbers."""
+    return _sorted(keys, np.arange(len(keys)), len(keys))[0]
 
 
-def letters(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The STEP bytes from each position on as two whole numbers (the end padded by zeros)."""
-    padded = np.concatenate((text, np.zeros(STEP, np.uint8)))
-    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    word = np.zeros(len(text) + 8, np.uint64)
-    for j in range(8):
-        word = (word << np.uint64(8)) | eight[:len(text) + 8, j].astype(np.uint64)
-    return word[:len(text)], word[8:8 + len(text)]
+def _sorted(key: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions ``at`` in the order of their keys, ties by position; whether a key is
+    new there): both packed into one number, which sorts faster than an order by keys."""
+    bits = np.uint64(size.bit_length())
+    packed = np.sort((key.astype(np.uint64) << bits) | at.astype(np.uint64))
+    new = np.ones(len(at), bool)
+    new[1:] = (packed[1:] >> bits) != (packed[:-1] >> bits)
+    return (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), new
+
+
+def letters(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The STEP bytes from positions ``at`` on as two whole numbers."""
+    block = text[at[:, None] + np.arange(STEP)].view(">u8")
+    return block[:, 0].astype(np.uint64), block[:, 1].astype(np.uint64)
 
 
 def _ranks(new: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -162,23 +166,31 @@ class Shard:
 
     def __init__(self, text: np.ndarray, room: np.ndarray, left: np.ndarray, length: int):
         size = len(text)
-        hi, lo = letters(text)
-        at = np.flatnonzero(left >= STEP)
-        at = at[np.lexsort((lo[at], hi[at]))]
+        assert 3 * size.bit_length() <= 63, "a shard is less than 2 MB"
+        every = np.arange(size)
+        padded = np.concatenate((text, np.zeros(STEP, np.uint8))).astype(np.int64)
+        word = padded[:size] << 24 | padded[1:size + 1] << 16 | padded[2:size + 2] << 8 | padded[3:size + 3]
+        order, new = _sorted(word, every, size)
+        rank, span = _ranks(new, order), 4
+        while span < STEP:                  # ranks by 4 bytes, 8, 16; zeros behind the end
+            key = rank * (size + 1)
+            key[:max(0, size - span)] += rank[span:]
+            order, new = _sorted(key, every, size)
+            rank, span = _ranks(new, order), 2 * span
+        at = order[left[order] >= STEP]
         new = np.ones(len(at), bool)
-        new[1:] = (hi[at][1:] != hi[at][:-1]) | (lo[at][1:] != lo[at][:-1])
-        self.alphabet = hi[at[new]], lo[at[new]]
+        new[1:] = rank[at[1:]] != rank[at[:-1]]
+        self.alphabet = letters(text, at[new])
         code = np.zeros(size, np.int64)
         code[at] = np.cumsum(new)
         rank, span = code, STEP
-        order = np.argsort(rank, kind="stable")
+        order, _ = _sorted(rank, every, size)
         while span < length:                # the order by twice as many bytes from that by span bytes
             longer = np.flatnonzero(left >= span)
             key = rank * (size + 1)
             key[longer] += rank[longer + span]
-            order = np.argsort(key, kind="stable")
-            new = np.zeros(size, bool)
-            new[1:] = key[order][1:] != key[order][:-1]
+            order, new = _sorted(key, every, size)
+            new[0] = False                  # the ends of fragments keep rank 0
             rank, span = _ranks(new, order), 2 * span
         self.suffix = order
         starts = room[order] < STEP
@@ -203,9 +215,10 @@ def common_alphabet(shards: list[Shard]) -> list[np.ndarray]:
     return np.split(_ranks(new, order), np.cumsum([len(s.alphabet[0]) for s in shards])[:-1])
 
 
-def interleave(shards: list[Shard], length: int) -> list[np.ndarray]:
+def interleave(shards: list[Shard], length: int, prefixes: bool = True) -> list[np.ndarray]:
     """For each shard the common prefix, in whole symbols up to ``length`` bytes, that
-    each place of its order shares with any other suffix of any shard.
+    each place of its order shares with any other suffix of any shard; those of all
+    ``length`` bytes alone without ``prefixes``.
 
     At first the shards' orders stand one behind the other.  A pass reads the
     transforms in the interleave so far, each shard's from front to back, and deals
@@ -216,22 +229,22 @@ def interleave(shards: list[Shard], length: int) -> list[np.ndarray]:
     assert length % STEP == 0, "the length is whole symbols"
     numbers = common_alphabet(shards)
     sizes = np.cumsum([0] + [len(s.suffix) for s in shards])
-    before = np.concatenate([np.concatenate(([0], n))[s.before] for s, n in zip(shards, numbers)])
-    back = np.concatenate([s.back + at for s, at in zip(shards, sizes)])
+    before = np.concatenate([np.concatenate(([0], n))[s.before] for s, n in zip(shards, numbers)]).astype(np.uint32)
+    back = np.concatenate([s.back + at for s, at in zip(shards, sizes)]).astype(np.int32)
     shared = np.zeros(sizes[-1], np.int64)
-    place = np.arange(sizes[-1])
-    block = np.zeros(len(place), np.int64)
+    place = np.arange(sizes[-1], dtype=np.int32)
+    block = np.zeros(len(place), np.int32)
     for done in range(STEP, length + 1, STEP):
         symbol = before[place]
-        on = symbol > 0
-        place, block, symbol = place[on], block[on], symbol[on]
-        dealt = _deal(symbol)
-        place, block, symbol = back[place[dealt]], block[dealt], symbol[dealt]
-        border = np.ones(len(place), bool)
-        border[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
-        more = ~(border & np.append(border[1:], True)[:len(border)])
-        place, block = place[more], np.cumsum(border)[more]
-        shared[place] = done
+        on = np.flatnonzero(symbol)
+        dealt, new = _sorted(symbol[on], on, len(place))
+        place, block = back[place[dealt]], block[dealt]
+        border = new
+        border[1:] |= block[1:] != block[:-1]
+        more = np.flatnonzero(~(border & np.append(border[1:], True)[:len(border)]))
+        place, block = place[more], np.cumsum(border, dtype=np.int32)[more]
+        if prefixes or done == length:
+            shared[place] = done
         if not len(place):
             break
     return np.split(shared, sizes[1:-1])
@@ -260,7 +273,7 @@ def repeats(parts: list[bytes], copies: list[int], length: int = LENGTH) -> list
     if len(held) < len(parts):
         close(len(parts))
     common = []
-    for shard, shared in zip(shards, interleave(shards, length)):
+    for shard, shared in zip(shards, interleave(shards, length, prefixes=False)):
         common.append(np.empty(len(shared), np.int64))
         common[-1][shard.suffix] = shared
     out = []
@@ -292,14 +305,16 @@ def sized(shards: DataFrame, size: str) -> DataFrame:
 def by_key(rows: DataFrame, keyed: DataFrame, keys: list[str], n: str) -> DataFrame:
     """``rows`` joined with ``keyed`` (a row for each key; ``n`` rows have it).
 
-    The rows of a key that more than 1 in ``HOT`` rows have stay where they are:
-    there are fewer than ``HOT`` such keys, which are sent to every task.  All
-    others meet by shuffle.  ``keyed`` must be a written table."""
+    A key that more than 1 in ``HOT`` rows have meets its row in ``HOT_PARTS`` parts;
+    there are fewer than ``HOT`` such keys, so their list is small enough to be sent
+    to every task.  ``keyed`` must be a written table."""
     least = (keyed.agg(F.sum(n)).first()[0] or 0) // HOT
-    hot = F.broadcast(keyed.where(F.col(n) > least).drop(n))
-    rest = keyed.where(F.col(n) <= least).drop(n)
-    few = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return rows.join(hot, keys).unionByName(few.join(rest.hint("merge"), keys))
+    hot = keyed.where(F.col(n) > least).select(*keys, F.lit(HOT_PARTS).alias("__pm_parts"))
+    left = (rows.join(F.broadcast(hot), keys, "left")
+            .withColumn("__pm_part", F.pmod(F.xxhash64(*rows.columns), F.coalesce("__pm_parts", F.lit(1))).cast("int")).drop("__pm_parts"))
+    last = F.when(F.col(n) > least, HOT_PARTS - 1).otherwise(0)
+    right = keyed.withColumn("__pm_part", F.explode(F.sequence(F.lit(0), last))).drop(n)
+    return left.join(right.hint("merge"), [*keys, "__pm_part"]).drop("__pm_part")
 
 
 def lone(shards: DataFrame, size: str) -> DataFrame:
