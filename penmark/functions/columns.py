@@ -16,7 +16,8 @@ _SPACE = r"[\s\p{Z}\x{85}\x{1C}-\x{1F}]"
 def strip_space(c: str | Column) -> Column:
     """Cut all white space at both ends, not blanks alone."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(col, rf"\A{_SPACE}++|(?<!{_SPACE}){_SPACE}++\z", "")
+    ends = F.concat(F.substring(col, 1, 1), F.substring(col, -1, 1))    # most cells need no search from end to end
+    return F.when(ends.rlike(_SPACE), F.regexp_replace(col, rf"\A{_SPACE}++|(?<!{_SPACE}){_SPACE}++\z", "")).otherwise(col)
 
 
 def coerce_double_default(c: str | Column, default: float = 0.0) -> Column:
