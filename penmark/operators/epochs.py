@@ -11,6 +11,7 @@ fallen for ``patience`` epochs; the weights of the best epoch are returned.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from penmark.operators import passes
 from penmark.operators.passes import Adam
-from penmark.operators.textmodel import bucket, softmax, tokens
+from penmark.operators.textmodel import TOKEN, Buckets, softmax
 from penmark.session import cut_lineage
 
 # The reference's three epochs, batches of 8, 500 warm-up steps, weight decay 0.01.
@@ -87,19 +88,34 @@ class EpochModel:
     val_losses: list[float]
 
 
+def counted_udf(buckets: int):
+    """Scalar UDF: lower-cased text -> its buckets, ascending, and their counts over the
+    root of their squared sum.  A text's time is in proportion to its tokens."""
+    known: list[Buckets] = []
+
+    @F.pandas_udf("bucket array<int>, weight array<double>")
+    def count(text: pd.Series) -> pd.DataFrame:
+        if not known:
+            known.append(Buckets(buckets))
+        at, kinds, weights = known[0], [], []
+        for t in text:
+            found = Counter(TOKEN.findall(t) if isinstance(t, str) else ())
+            kind, which = np.unique(np.fromiter((at[w] for w in found), np.int32, len(found)), return_inverse=True)
+            n = np.bincount(which, weights=np.fromiter(found.values(), float, len(found)), minlength=len(kind))
+            kinds.append(kind)
+            weights.append(n / np.sqrt((n * n).sum()))
+        return pd.DataFrame({"bucket": pd.Series(kinds, dtype=object), "weight": pd.Series(weights, dtype=object)})
+
+    return count
+
+
 def hashed(df: DataFrame, key: str, text_col: str, label_col: str | None, labels: Sequence[str], buckets: int) -> DataFrame:
     """(row_key, label_idx, bucket array, weight array): counts over the root of their squared sum."""
-    toks = F.coalesce(tokens(F.col(text_col)), F.array().cast("array<string>"))
     lab = F.array(*[F.lit(x) for x in labels])
     idx = (F.array_position(lab, F.col(label_col).cast("string")) - 1) if label_col else F.lit(0)
     rows = df.select(F.col(key).cast("string").alias("row_key"), idx.cast("int").alias("label_idx"),
-                     F.array_sort(F.transform(toks, lambda t: bucket(t, buckets))).alias("b"))
-    kinds = F.array_distinct("b")
-    first = F.transform(kinds, lambda k: F.array_position("b", k))
-    rows = rows.withColumn("bucket", kinds).withColumn("first", first)
-    n = F.transform(F.col("first"), lambda x, i: F.coalesce(F.get("first", i + 1), F.size("b") + 1) - x)
-    rows = rows.withColumn("n", n).withColumn("norm", F.sqrt(F.aggregate("n", F.lit(0.0), lambda a, x: a + x * x)))
-    return rows.select("row_key", "label_idx", "bucket", F.transform("n", lambda x: x / F.col("norm")).alias("weight"))
+                     counted_udf(buckets)(F.lower(F.col(text_col))).alias("c"))
+    return rows.select("row_key", "label_idx", "c.bucket", "c.weight")
 
 
 def validation_loss(blocks: DataFrame, kernel: LinearText, weights: np.ndarray) -> float:
