@@ -146,6 +146,32 @@ def test_counts_are_combined_before_the_exchange(spark):
     assert plan.count("partial_count(1)") == 1 and plan.count("partial_sum(") == 1
 
 
+def test_models_are_dealt_by_cost():
+    grid = ML.param_grid()
+    costs = {i: N.NetworkKernel((12, *g["hidden"], 4), g["activation"], g["alpha"], g["rate"], 1).cost for i, g in enumerate(grid)}
+    share = P.dealt(costs, 12)
+    load = [sum(costs[i] for i in s) for s in share.values()]
+    assert sorted(i for s in share.values() for i in s) == sorted(costs) and max(load) < 1.1 * min(load)
+
+
+def test_steps_leave_the_state_as_it_was():
+    rng = np.random.default_rng(1)
+    block = {"features": rng.random(600), "label_idx": rng.integers(0, 3, 200).astype(float)}
+    k = N.NetworkKernel((3, 4, 3), "tanh", 1e-3, 0.01, 1)
+    s, adam = P.fresh(k), P.Adam(batch=50, decay=0.1)
+    p, m, v = s.p.copy(), s.m.copy(), s.v.copy()
+    got = P.advance(k, s, block, 200, 0, 2, adam, 5)
+    step = 0
+    for e in range(2):
+        order = np.random.default_rng((5, e, 0)).permutation(200)
+        for a in range(0, 200, 50):
+            _, g = k.gradient(p, block, order[a:a + 50])
+            step += 1
+            m, v = 0.9 * m + (1 - 0.9) * g, 0.999 * v + (1 - 0.999) * g * g
+            p = p - 0.01 * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step) * m / (np.sqrt(v) + 1e-8) - 0.01 * 0.1 * p
+    assert np.allclose(got[0], p, rtol=0, atol=1e-12) and got[3] == step and not s.m.any() and np.array_equal(s.p, k.start())
+
+
 def test_saved_states(spark, tmp_dir):
     root = f"{tmp_dir}/states"
     assert P.last_state(spark, root) is None
