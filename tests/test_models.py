@@ -146,6 +146,19 @@ def test_counts_are_combined_before_the_exchange(spark):
     assert plan.count("partial_count(1)") == 1 and plan.count("partial_sum(") == 1
 
 
+def test_tokens_are_counted_by_batches(spark, monkeypatch):
+    """No row a token leaves the scan, and giving counts out early changes none."""
+    odd = spark.createDataFrame([(0, "a", "Größe GRÖSSE x_y x"), (1, "a", None), (0, None, "ΣΑΣ İ ٣٤ ǅ"), (1, "b", ""), (0, "a", "x")],
+                                "f int, label string, text string")
+    assert "Generate" not in X.token_counts(odd, fold_col="f")._jdf.queryExecution().executedPlan().toString()
+    each = odd.select("f", "label", F.explode(X.tokens(F.col("text"))).alias("w")).groupBy("f", "label", X.bucket(F.col("w")).alias("b")).count()
+    docs = odd.groupBy("f", "label").count()
+    due = sorted(map(str, [*map(tuple, each.collect()), *[(f, x, -1, n) for f, x, n in docs.collect()]]))
+    for held in (X.HELD, 1):
+        monkeypatch.setattr(X, "HELD", held)
+        assert sorted(str(tuple(r)) for r in X.token_counts(odd, fold_col="f").collect()) == due
+
+
 def test_models_are_dealt_by_cost():
     grid = ML.param_grid()
     costs = {i: N.NetworkKernel((12, *g["hidden"], 4), g["activation"], g["alpha"], g["rate"], 1).cost for i, g in enumerate(grid)}
