@@ -405,6 +405,24 @@ def test_decontamination(spark):
     assert decontam.find(empty(spark), bench).count() == 0
 
 
+def test_latent_cosine_admits_what_overlap_does_not(spark, monkeypatch):
+    """An item spread over more words than a passage has is found by its cosine alone."""
+    rng = random.Random(17)
+
+    def rare(n):
+        return " ".join("".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(n))
+    items = [(i, rare(20) + ". " + rare(14) + ".") for i in range(12)]
+    spread = [" ".join(f"{w} {rare(gap)}" for w in t.replace(".", "").split()) for (_, t), gap in zip(items, (2, 3, 3, 3))]
+    texts = [*spread, rare(400), prose(rng, 500), None]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        return {(r.doc_id, r.item_id) for r in decontam.find(frame(spark, texts), bench).collect()}
+    assert found() == {(i, i) for i in range(4)}
+    monkeypatch.setattr(decontam, "singular_vectors", lambda tok, frequency: np.zeros((len(frequency), 1)))
+    assert found() == {(0, 0)}
+
+
 def test_decontamination_finds_every_verbatim_item(spark):
     import re
     def norm(t):
