@@ -122,15 +122,14 @@ def validation_loss(blocks: DataFrame, kernel: LinearText, weights: np.ndarray)
     shared = blocks.sparkSession.sparkContext.broadcast((kernel, weights))
 
     def run(batches):
-        import pickle
         for b in batches:
             k, w = shared.value
-            for n, data in zip(b["n"].to_pylist(), b["data"].to_pylist()):
-                block = pickle.loads(data)
+            for n, block in zip(b["n"].to_pylist(), passes.unpacked(b)):
                 total = sum(k.gradient(w, block, rows)[0] * len(rows) for rows in np.array_split(np.arange(n), max(1, n // 256)))
                 yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([float(total)])], names=["n", "loss"])
 
-    r = blocks.mapInArrow(run, "n long, loss double").agg(F.sum("loss").alias("loss"), F.sum("n").alias("n")).first()
+    with passes.block_batches(blocks.sparkSession):
+        r = blocks.mapInArrow(run, "n long, loss double").agg(F.sum("loss").alias("loss"), F.sum("n").alias("n")).first()
     shared.unpersist()
     return r["loss"] / r["n"] if r["n"] else 0.0
 

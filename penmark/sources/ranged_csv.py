@@ -27,6 +27,7 @@ import csv
 import re
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ from penmark.session import cut_lineage
 #: The text to a closing quote, doubled quotes passed over.
 CLOSING = re.compile(r'(?:[^"]++|"")*+"')
 BLANK = " \t\r"
+QUOTE, CARRIAGE_RETURN = ord('"'), ord("\r")
 EFFECT = "file string, start long, length long, end0 boolean, end1 boolean, n0 long, n1 long"
 #: Bytes that a range's row takes in a broadcast, at most: hash, two offsets, state, three numbers.
 RANGE_BYTES = 64
@@ -100,6 +102,61 @@ def runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
+@dataclass(frozen=True)
+class Quotes:
+    """The runs of quotes in a batch of lines and what they do to the state.
+
+    Pairs leave it as it is.  An odd run at a cell's start opens a quoted cell or closes
+    the open one; an odd run elsewhere closes the open one and is text outside."""
+    at: np.ndarray              # every quote
+    begin: np.ndarray           # runs
+    end: np.ndarray
+    turned: np.ndarray          # after a run: turned over (since the last closing run, if there was one)
+    fixed: np.ndarray           # whether there was one
+
+    def before(self, places: np.ndarray, is_open: bool) -> np.ndarray:
+        """Whether a quoted cell is open at the places, by the state before the first line."""
+        i = np.searchsorted(self.begin, places) - 1
+        if not len(self.begin):
+            return np.full(len(places), is_open)
+        return np.where(i < 0, is_open, self.turned[i] ^ (~self.fixed[i] & is_open))
+
+
+def buffers(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, where each line begins and the last one ends) of an array of text."""
+    lines = lines.cast(pa.string())
+    at = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset:lines.offset + len(lines) + 1]
+    data = lines.buffers()[2]
+    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), at.astype(np.int64)
+
+
+def quotes_of(data: np.ndarray, at: np.ndarray, sep: bytes) -> Quotes:
+    q = np.flatnonzero(data[at[0]:at[-1]] == QUOTE) + at[0]
+    line = at[np.searchsorted(at, q, "right") - 1]
+    first = np.flatnonzero(np.concatenate([[True], (q[1:] != q[:-1] + 1) | (q[1:] == line[1:])])[:len(q)])
+    begin, line = q[first], line[first]
+    size = np.diff(np.append(first, len(q)))
+    leads = begin - len(sep) >= line
+    for i, c in enumerate(sep):
+        leads &= data[np.maximum(begin - len(sep) + i, 0)] == c
+    leads |= begin == line
+    odd = size % 2 == 1
+    turns = np.cumsum(odd & leads)
+    closing = np.maximum.accumulate(np.where(odd & ~leads, np.arange(len(begin)), -1))
+    since = turns - np.where(closing >= 0, turns[closing], 0) if len(begin) else turns
+    return Quotes(q, begin, begin + size, since % 2 == 1, closing >= 0)
+
+
+def filled_lines(lines: pa.Array, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a line holds more than blanks."""
+    out = at[1:] > at[:-1]
+    doubtful = np.flatnonzero(out)
+    doubtful = doubtful[np.isin(data[at[doubtful]], np.frombuffer(BLANK.encode(), np.uint8))]
+    if len(doubtful):
+        out[doubtful] = pc.binary_length(pc.utf8_trim(lines.take(pa.array(doubtful)), BLANK)).to_numpy() > 0
+    return out
+
+
 def effects(sep: str):
     """Arrow pass: for each range its end and its records from either first state."""
     def run(batches):
@@ -118,17 +175,12 @@ def effects(sep: str):
                     key, state, n = mine, [False, True], [0, 0]
                     info = part["file"][0].as_py(), part["start"][0].as_py(), part["length"][0].as_py()
                 lines = part["value"]
-                filled = np.concatenate([[0], np.cumsum(pc.binary_length(pc.utf8_trim(lines, BLANK)).to_numpy() > 0)])
-                quotes = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
-                text = lines.take(pa.array(quotes)).to_pylist()
+                data, at = buffers(lines)
+                found, filled = quotes_of(data, at, sep.encode()), filled_lines(lines, data, at)
                 for s in (0, 1):
-                    at = 0
-                    for i, line in zip(quotes.tolist(), text):
-                        if not state[s]:        # every filled line up to this one begins a record
-                            n[s] += int(filled[i + 1] - filled[at])
-                        state[s], at = ends_open(line, state[s], sep), i + 1
-                    if not state[s]:
-                        n[s] += int(filled[-1] - filled[at])
+                    inside = found.before(at, state[s])
+                    n[s] += int((filled & ~inside[:-1]).sum())
+                    state[s] = bool(inside[-1])
         if key is not None:
             yield done()
     return run
@@ -152,6 +204,58 @@ def row_schema(width: int) -> str:
     return ", ".join(["row long, n_cells int, place long, piece string", *[f"c{i} string" for i in range(width)]])
 
 
+def whole_records(text: pa.Buffer, data: np.ndarray, found: Quotes, begin: np.ndarray, end: np.ndarray, numbers: np.ndarray,
+                  is_open: bool, sep: str, width: int) -> Iterator[pa.RecordBatch]:
+    """Rows of the records that lie in the text from ``begin`` to ``end``.
+
+    Cells are cut at the separators outside quotes, all records at once.  A record with text
+    behind a closing quote is left to the reader of single records."""
+    if not len(begin):
+        return
+    mark = sep.encode()
+    line_end, end = end, end - (data[end - 1] == CARRIAGE_RETURN)
+    p = np.flatnonzero(data == mark[0])
+    for i, c in enumerate(mark[1:], 1):
+        p = p[(p + i < len(data)) & (data[np.minimum(p + i, len(data) - 1)] == c)]
+    r = np.searchsorted(begin, p, "right") - 1
+    kept = (r >= 0) & (p < end[r]) & ~found.before(p, is_open)
+    p, r = p[kept], r[kept]
+    a, b = np.sort(np.concatenate([begin, p + len(mark)])), np.sort(np.concatenate([p, end]))
+    n = np.bincount(r, minlength=len(begin)) + 1
+    base = np.cumsum(n) - n
+    quoted = np.flatnonzero((a < b) & (data[np.minimum(a, len(data) - 1)] == QUOTE))
+    doubled = np.zeros(len(a), bool)
+    odd = np.zeros(len(begin), bool)
+    if len(quoted):
+        last = np.searchsorted(found.begin, b[quoted]) - 1
+        clean = (found.end[last] == b[quoted]) & ((found.begin[last] == a[quoted]) | found.before(found.begin[last], is_open))
+        odd[np.searchsorted(base, quoted[~clean], "right") - 1] = True
+        quoted = quoted[clean]
+        doubled[quoted] = np.searchsorted(found.at, b[quoted]) - np.searchsorted(found.at, a[quoted]) > 2
+        a[quoted] += 1
+        b[quoted] -= 1
+    if odd.any():
+        whole = [data[x:y].tobytes().decode() for x, y in zip(begin[odd], line_end[odd])]
+        yield row_batch(numbers[odd].tolist(), cells_of(whole, sep), [], width)
+        n, base, numbers = n[~odd], base[~odd], numbers[~odd]
+    # the cells and the gaps between them, in turn, as one array over the text
+    places = pa.py_buffer(np.stack([a, b], 1).reshape(-1).astype(np.int32))
+    cells = pa.StringArray.from_buffers(2 * len(a) - 1, places, text)
+    out = []
+    for i in range(width):
+        there = n > i
+        at = np.where(there, base + i, 0)
+        c = cells.take(pa.array(2 * at, mask=~there))
+        pairs = there & doubled[at]
+        if pairs.any():
+            pairs = pa.array(pairs)
+            c = pc.replace_with_mask(c, pairs, pc.replace_substring(c.filter(pairs), '""', '"'))
+        out.append(c)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(numbers, pa.int64()), pa.array(n, pa.int32()), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.string()), *out],
+        names=["row", "n_cells", "place", "piece", *[f"c{i}" for i in range(width)]])
+
+
 def rows_of(sep: str, width: int):
     """Arrow pass: rows of the records inside each range, and pieces of those that
     cross its borders, by the number of the record."""
@@ -168,37 +272,40 @@ def rows_of(sep: str, width: int):
         for batch in batches:
             for part in runs(batch):
                 mine = part["file_hash"][0].as_py(), part["start"][0].as_py()
-                numbers, records = [], []
-                out = []
                 if mine != key:
                     out = border()
                     key, is_open = mine, part["is_open"][0].as_py()
                     # an open record began before this range: its number is the one before the range's first
                     row, place, entered = part["first_row"][0].as_py(), mine[1], is_open
-                if out:
-                    yield row_batch([], [], out, width)
-                for line in part["value"].to_pylist():
-                    if is_open:
-                        held.append(line)
-                        if '"' in line and not ends_open(line, True, sep):
-                            is_open, record = False, "\n".join(held)
-                            held.clear()
-                            if entered:
-                                pieces.append((row - 1, place, record))
-                                entered = False
-                            else:
-                                numbers.append(row - 1)
-                                records.append(record)
-                    elif line.strip(BLANK):
-                        row += 1
-                        if '"' in line and ends_open(line, False, sep):
-                            is_open = True
-                            held.append(line)
+                    if out:
+                        yield row_batch([], [], out, width)
+                plain = part["value"].cast(pa.string())
+                lines = pc.binary_join_element_wise(plain, "", "\n")      # each line with its end
+                data, at = buffers(lines)
+                found = quotes_of(data, at, sep.encode())
+                inside = found.before(at, is_open)
+                ends = np.flatnonzero(~inside[1:])          # lines after which no cell is open
+                first = 0
+                if is_open:                                 # lines of a record that began before
+                    first = int(ends[0]) + 1 if len(ends) else len(lines)
+                    held += plain.slice(0, first).to_pylist()
+                    if len(ends):
+                        record = "\n".join(held)
+                        held.clear()
+                        if entered:
+                            pieces.append((row - 1, place, record))
+                            entered = False
                         else:
-                            numbers.append(row - 1)
-                            records.append(line)
-                if numbers:
-                    yield row_batch(numbers, cells_of(records, sep), [], width)
+                            yield row_batch([row - 1], cells_of([record], sep), [], width)
+                begun = np.flatnonzero(filled_lines(plain, *buffers(plain)) & ~inside[:-1])
+                numbers = row + np.arange(len(begun))
+                row += len(begun)
+                over = ends[np.minimum(np.searchsorted(ends, begun), max(0, len(ends) - 1))] if len(ends) else begun
+                if inside[-1] and len(begun) and first < len(lines):        # the last one is still open
+                    held += plain.slice(int(begun[-1])).to_pylist()
+                    begun, over, numbers = begun[:-1], over[:-1], numbers[:-1]
+                yield from whole_records(lines.buffers()[2], data, found, at[begun], at[over + 1] - 1, numbers, is_open, sep, width)
+                is_open = bool(inside[-1])
         if key is not None and (out := border()):
             yield row_batch([], [], out, width)
     return run

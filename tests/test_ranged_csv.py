@@ -131,3 +131,36 @@ def test_changed_ranges_are_noticed(spark, tmp_dir, small_ranges):
             ranged_csv.read_rows(spark, path, 1).collect()
     finally:
         ranged_csv.first_states = real
+
+
+def test_quotes_of_many_lines_as_of_one(spark):
+    """The state after each line, from either first state, by the rule for one line."""
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(5)
+    for sep in (";", "§"):
+        lines = ["".join(rng.choice([sep, '"', "a", "é"]) for _ in range(rng.randint(0, 8))) for _ in range(400)]
+        part = pa.array(["left out", *lines]).slice(1)
+        data, at = ranged_csv.buffers(part)
+        found = ranged_csv.quotes_of(data, at, sep.encode())
+        for is_open in (False, True):
+            due = [is_open]
+            for line in lines:
+                due.append(ranged_csv.ends_open(line, due[-1], sep) if due[-1] or line.strip() else False)
+            assert np.array_equal(found.before(at, is_open), due)
+
+
+def test_records_of_a_batch_as_one_by_one():
+    """Cells cut all at once: doubled quotes, text behind a closing quote, carriage returns, short and long rows."""
+    import pyarrow as pa
+    records = ['a;b;c', '"";"x;""y""\nz";""""', '"a"b;c', 'q"r;s"t";', ' ;\r;x\r', 'one', '1;2;3;4', '"k"\r']
+    lines = [line for r in records for line in r.split("\n")]
+    n = len(lines)
+    batch = pa.RecordBatch.from_arrays([pa.array(lines), pa.array([7] * n), pa.array([0] * n), pa.array([False] * n), pa.array([3] * n)],
+                                       names=["value", "file_hash", "start", "is_open", "first_row"])
+    got = {r["row"]: r for b in ranged_csv.rows_of(";", 3)(iter([batch])) for r in b.to_pylist()}
+    due = ranged_csv.cells_of(records, ";")
+    assert sorted(got) == list(range(3, 3 + len(records)))
+    for i, cells in enumerate(due):
+        assert got[3 + i]["n_cells"] == len(cells)
+        assert [got[3 + i][f"c{j}"] for j in range(3)] == (cells + [None] * 3)[:3]

@@ -100,3 +100,22 @@ def test_replayed_batch_and_new_model(spark, tmp_dir):
     got = {r["batch"]: (r["m"], r["n"]) for r in spark.read.parquet(out).groupBy("batch").agg(F.max("model").alias("m"), F.count("*").alias("n")).collect()}
     n = rows.count()
     assert got == {0: ("v1", -(-n // 2)), 1: ("v2", n // 2)}
+
+
+def test_blocks_lie_in_files_of_their_own_and_go_one_by_one(spark, monkeypatch):
+    """A task reads the blocks of its share, not whatever a file was given, one at a time."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    from penmark.operators import passes
+    monkeypatch.setattr(passes, "SHARD_BYTES", 16 << 10)
+    rows = spark.range(6000).select(F.col("id").alias("row_key"), F.array(F.rand(1), F.rand(2)).alias("features"), F.lit(1.0).alias("label_idx"))
+    blocks, shards = passes.packed(rows, "row_key", ["features", "label_idx"], 24)
+    files = blocks.select(F.input_file_name().alias("f")).groupBy("f").count().collect()
+    assert shards > 4 and len(files) == blocks.count() and {r["count"] for r in files} == {1}
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+    with passes.block_batches(spark):
+        found = blocks.coalesce(1).mapInArrow(sizes, "n long").collect()
+    assert {r["n"] for r in found} == {1}
