@@ -28,7 +28,12 @@ from penmark.session import cut_lineage
 
 SHARD_ROWS = 4096
 LEAF = 64
-QUERY_BLOCK = 512
+#: Queries that go down a tree together; a shard is copied and its tree built once for each block.
+QUERY_BLOCK = 4096
+#: What a product of unit vectors may differ by from the score in double precision, generously.
+ROUNDING = 1e-9
+#: Pairs that are scored at once.
+PAIRS = 1 << 15
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -52,23 +57,42 @@ def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
         F.slice(F.array_sort(F.collect_list("vec_id")), 1, k + 1).alias("ids"))
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, so huge and tiny components neither overflow nor vanish."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(1, keepdims=True))[1])
+
+
+def units(v: np.ndarray) -> np.ndarray:
+    """Rows of unit length."""
+    v = scaled(v)
+    return v / np.sqrt((v * v).sum(1))[:, None]
+
+
+def pair_cosines(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Cosine of each row with the same row of ``q`` in double precision, row by row the
+    same whatever stands beside it."""
+    v, q = scaled(v), scaled(q)
+    return (v * q).sum(1) / (np.sqrt((v * v).sum(1)) * np.sqrt((q * q).sum(1)))
+
+
 def cosines(v: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Cosine of each row with ``q`` in double precision, row by row the same
-    whatever stands beside it."""
-    # powers of two, so huge and tiny components neither overflow nor vanish
-    v = np.ldexp(v, -np.frexp(np.abs(v).max(1, keepdims=True))[1])
-    q = np.ldexp(q, -np.frexp(np.abs(q).max())[1])
-    dot = (v * q).sum(1)
-    return dot / (np.sqrt((v * v).sum(1)) * np.sqrt((q * q).sum()))
+    """Cosine of each row with ``q``."""
+    return pair_cosines(v, np.broadcast_to(q, v.shape))
 
 
 class Tree:
-    """Nodes are (vantage row, median, inside, outside); a leaf is an array of rows."""
+    """Nodes are (vantage row, median, inside, outside); a leaf is an array of rows.
+
+    Queries go down the tree together: a node measures all that are still with it at
+    once.  They first read the leaf they fall into, which gives each a radius, and then
+    every side that the radius does not exclude."""
 
     def __init__(self, v: np.ndarray, ids: list[np.ndarray], seed: int = 5):
-        self.v, self.ids = v, ids
-        unit = np.ldexp(v, -np.frexp(np.abs(v).max(1, keepdims=True))[1])
-        self.unit = unit / np.sqrt((unit * unit).sum(1))[:, None]
+        self.v = v
+        self.n_ids = np.array([len(x) for x in ids], np.int64)
+        self.first_id = np.cumsum(self.n_ids) - self.n_ids
+        self.ids = np.concatenate([np.asarray(x, np.int64) for x in ids]) if len(ids) else np.zeros(0, np.int64)
+        self.unit = units(v)
         self.rng = np.random.default_rng(seed)
         self.root = self.build(np.arange(len(v)))
 
@@ -84,40 +108,77 @@ class Tree:
             return rows
         return at, median, self.build(rest[inside]), self.build(rest[~inside])
 
-    def search(self, q: np.ndarray, qid, k: int, factor: float) -> list[tuple[float, int]]:
-        """The k best (score, id), best first, ties to the smaller id."""
-        best: list[tuple[float, int]] = []
-        unit = np.ldexp(q, -np.frexp(np.abs(q).max())[1])
-        unit = unit / np.sqrt((unit * unit).sum())
-
-        def offer(rows):
-            s = cosines(self.v[rows], q)
-            low = best[-1][0] if len(best) == k else -np.inf
-            near = np.flatnonzero(s >= low)
-            if len(near) > k:
-                near = near[s[near] >= np.partition(s[near], -(k + 1))[-(k + 1)]]
-            if len(near):
-                got = [(float(s[i]), int(x)) for i in near for x in self.ids[rows[i]] if x != qid]
-                best[:] = sorted(best + got, key=lambda x: (-x[0], x[1]))[:k]
-
-        def radius():
-            return np.sqrt(max(0.0, 2 - 2 * best[-1][0])) + 1e-6 if len(best) == k else np.inf
-
-        def visit(node):
+    def search(self, q: np.ndarray, qid: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the query, id, score) of each query's k best, best first, ties to the smaller id."""
+        unit = units(q)
+        at, found, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        low = np.full(len(q), -np.inf)              # the k-th best score so far
+        home = np.full(len(q), -1, np.int64)        # the leaf a query fell into, by its first row
+
+        def offer(rows: np.ndarray, who: np.ndarray):
+            """The rows' ids to the queries ``who``: products tell which can matter, those are scored exactly."""
+            nonlocal at, found, score
+            near = unit[who] @ self.unit[rows].T
+            least = low[who]
+            if len(rows) > k + 1:
+                least = np.maximum(least, np.partition(near, -(k + 1), axis=1)[:, -(k + 1)])
+            i, j = np.nonzero(near >= least[:, None] - ROUNDING)
+            i, j = who[i], rows[j]
+            s = np.concatenate([np.zeros(0), *(pair_cosines(self.v[j[a:a + PAIRS]], q[i[a:a + PAIRS]]) for a in range(0, len(i), PAIRS))])
+            n = self.n_ids[j]
+            ids = self.ids[np.repeat(self.first_id[j] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            i, s = np.repeat(i, n), np.repeat(s, n)
+            new = (ids != qid[i]) & (s >= low[i])
+            if not new.any():
+                return
+            met = np.zeros(len(q), bool)
+            met[i[new]] = True
+            old = met[at]
+            i, ids, s = np.concatenate([at[old], i[new]]), np.concatenate([found[old], ids[new]]), np.concatenate([score[old], s[new]])
+            order = np.lexsort((ids, -s, i))
+            i, ids, s = i[order], ids[order], s[order]
+            rank = np.arange(len(i)) - np.searchsorted(i, i)
+            low[i[rank == k - 1]] = s[rank == k - 1]
+            top = rank < k
+            at, found, score = np.concatenate([at[~old], i[top]]), np.concatenate([found[~old], ids[top]]), np.concatenate([score[~old], s[top]])
+
+        def away(vantage: int, who: np.ndarray) -> np.ndarray:
+            return np.sqrt(((unit[who] - self.unit[vantage]) ** 2).sum(1))
+
+        def fall(node, who: np.ndarray):
+            if not len(who):
+                return
             if isinstance(node, np.ndarray):
                 if len(node):
-                    offer(node)
+                    home[who] = node[0]
+                    offer(node, who)
+                return
+            vantage, median, inside, outside = node
+            near = away(vantage, who) <= median
+            fall(inside, who[near])
+            fall(outside, who[~near])
+
+        def visit(node, who: np.ndarray):
+            if isinstance(node, np.ndarray):
+                if len(node):
+                    who = who[home[who] != node[0]]
+                if len(node) and len(who):
+                    offer(node, who)
+                return
+            if not len(who):
                 return
-            at, median, inside, outside = node
-            offer(np.array([at]))
-            d = np.sqrt(((unit - self.unit[at]) ** 2).sum())
-            sides = (inside, outside) if d <= median else (outside, inside)
-            visit(sides[0])
-            if abs(d - median) <= factor * radius():
-                visit(sides[1])
+            vantage, median, inside, outside = node
+            offer(np.array([vantage]), who)
+            d = away(vantage, who)
+            for side, past in ((inside, d - median), (outside, median - d)):
+                radius = np.sqrt(np.maximum(0.0, 2 - 2 * low[who])) + 1e-6
+                visit(side, who[past <= np.maximum(0.0, factor * radius)])
 
-        visit(self.root)
-        return best
+        everyone = np.arange(len(q))
+        fall(self.root, everyone)
+        visit(self.root, everyone)
+        order = np.lexsort((found, -score, at))
+        return at[order], found[order], score[order]
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int = 5, factor: float = 1.0, id_col: str = "vec_id",
@@ -143,12 +204,12 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5, factor: float = 1.0,
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select("shard", "block", "query_id", "v"))
 
     def pair(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        out = []
         if len(a) and len(b):
             tree = Tree(np.stack(a["v"].to_numpy()).astype(float), a["ids"].tolist())
-            for qid, v in zip(b["query_id"], b["v"]):
-                out += [(qid, i, s) for s, i in tree.search(np.asarray(v, float), qid, k, factor)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+            qid = b["query_id"].to_numpy()
+            at, ids, score = tree.search(np.stack(b["v"].to_numpy()).astype(float), qid, k, factor)
+            return pd.DataFrame({"query_id": qid[at], "vec_id": ids, "score": score})
+        return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
 
     near = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(
         pair, "query_id long, vec_id long, score double")
