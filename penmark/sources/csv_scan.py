@@ -104,6 +104,12 @@ def scan_tolerant(spark: SparkSession, path: str,
     return parse_lists_tolerant(df, list_cols).withColumns({c: empty for c in list_cols if c not in names})
 
 
+#: What no whole number holds; a failed cast costs far more than the search for it.
+NO_INTEGER = r"[A-Za-z/:,;'\"]"
+#: All that is read as a number with a fraction, and more.
+LIKE_DOUBLE = r"(?i)\A[\x00-\x20]*+[-+]?(?:[0-9.][0-9A-FXP.+-]*+|inf(?:inity)?|nan)[\x00-\x20]*+\z"
+
+
 def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """bigint when every cell parses as an integer (and none is missing),
     double when every non-missing cell parses as a number, else string.
@@ -111,8 +117,8 @@ def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     aggs = []
     for c in columns:
         aggs += [F.count(F.lit(1)).alias(f"{c}__rows"), F.count(c).alias(f"{c}__n"),
-                 F.count(F.col(c).try_cast("bigint")).alias(f"{c}__i"),
-                 F.count(F.col(c).try_cast("double")).alias(f"{c}__d")]
+                 F.count(F.when(~F.col(c).rlike(NO_INTEGER), F.col(c).try_cast("bigint"))).alias(f"{c}__i"),
+                 F.count(F.when(F.col(c).rlike(LIKE_DOUBLE), F.col(c).try_cast("double"))).alias(f"{c}__d")]
     r = df.agg(*aggs).first()
     out = {}
     for c in columns:
