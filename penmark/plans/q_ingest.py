@@ -40,7 +40,7 @@ SELECT recipe_id, label, md5(recipe_name) AS name_md5, md5(description) AS descr
        md5(array_to_string(steps, chr(10))) AS steps_md5, CAST(len(steps) AS BIGINT) AS n_steps,
        CAST(CAST(data AS DATE) AS VARCHAR) AS data FROM recipes_d""")
 def q_scan_strict_text(spark, sf):
-    d = recipes_d(spark, sf).select(*[c for c in COLS if c != "n_ingredients"])
+    d = recipes_d(spark, sf, even=True).select(*[c for c in COLS if c != "n_ingredients"])
     path = write_recipes_csv(d, scratch_path(spark, "strict-d"))
     r = scan_strict(spark, path, types={"recipe_id": "bigint"})
     return r.select("recipe_id", "label", F.md5("recipe_name").alias("name_md5"),
@@ -113,7 +113,7 @@ def q_parse_list_tolerant(spark, sf):
 SELECT recipe_id, md5(array_to_string(steps, chr(10))) AS steps_md5, CAST(len(steps) AS BIGINT) AS n_steps,
        array_to_string(ingredients, '|') AS ingredients FROM recipes_d""")
 def q_parse_list_strict(spark, sf):
-    d = recipes_d(spark, sf).select("recipe_id", to_list_literal("steps").alias("s"),
+    d = recipes_d(spark, sf, even=True).select("recipe_id", to_list_literal("steps").alias("s"),
                                     F.to_json("ingredients").alias("i"))
     p = parse_lists_strict(d.select("recipe_id", F.col("s").alias("steps"), F.col("i").alias("ingredients")), ["steps", "ingredients"])
     return p.select("recipe_id", F.md5(F.array_join("steps", "\n")).alias("steps_md5"),
