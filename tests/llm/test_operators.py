@@ -423,6 +423,52 @@ def test_latent_cosine_admits_what_overlap_does_not(spark, monkeypatch):
     assert found() == {(0, 0)}
 
 
+def test_latent_search_leaves_no_passage_out(spark):
+    """Every pair with the latent cosine that the subsequence accepts is found, however thinly the
+    item is spread, at a cut of a long text too: equal to trying all pairs."""
+    rng = random.Random(29)
+
+    def rare(n):
+        return ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(n)]
+    items = [(i, " ".join(rare(20 + i % 3)) + ". " + " ".join(rare(14)) + ".") for i in range(40)]
+    own = [t.replace(".", "").split() for _, t in items]
+
+    def spread(words, gap):
+        return [x for w in words for x in [w, *rare(gap)]]
+    long = rare(4800 - 100) + spread(own[4], 5) + rare(4600) + spread(own[5], 5) + rare(300)
+    # the whole items among the texts give the latent space a direction for each
+    texts = [spread(own[i], 4 + i % 2) for i in range(12)] + [long, rare(500), own[7], *2 * own]
+    texts = [" ".join(t) for t in texts]
+    made = decontam.Items(items)
+    tok = decontam.tokens(frame(spark, texts), made.vocab).cache()
+    frequency, idf = decontam.passage_frequency(tok, len(made.vocab))
+    vectors = decontam.singular_vectors(tok, frequency)
+    got = {(r.doc_id, r.item_id): r.lcs for r in decontam.search(tok, made, idf, vectors, "bigint").collect()}
+
+    def unit(x):
+        return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-9)
+    squared, table = made.weights(idf) ** 2, vectors * idf[:, None]
+    target, want, thick = unit(made.weights(idf) @ vectors), {}, set()
+    for d, t in enumerate(texts):
+        ids = np.array([made.vocab.get(w, -1) for w in t.split()])
+        for at in range(0, len(ids), decontam.BLOCK):
+            held = ids[at:at + decontam.WORDS]
+            held = held[held >= 0]
+            cos, share = target @ unit(table[held].sum(0)), squared[:, np.unique(held)].sum(1)
+            for p in np.flatnonzero((cos >= decontam.LATENT) | (share >= decontam.OVERLAP)):
+                i = made.passages[p][0]
+                region = ids[max(0, at - len(made.words[i])):at + decontam.WORDS + len(made.words[i])]
+                w, region = idf[made.words[i]], region[region >= 0]
+                used = decontam.common_subsequence(made.words[i], region, w)
+                lcs, answer = w[used].sum() / w.sum(), w[made.answers[i]:][used[made.answers[i]:]].sum() / w[made.answers[i]:].sum()
+                if lcs >= decontam.NEAR or lcs >= decontam.PARAPHRASE and answer >= decontam.ANSWER:
+                    key = d, made.ids[i]
+                    want[key] = max(want.get(key, 0), lcs)
+                    thick |= {key} if share[p] >= 0.2 else set()
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert {(12, 4), (12, 5)} <= want.keys() - thick
+
+
 def test_decontamination_finds_every_verbatim_item(spark):
     import re
     def norm(t):
