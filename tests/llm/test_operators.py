@@ -469,6 +469,13 @@ def test_latent_search_leaves_no_passage_out(spark):
     assert {(12, 4), (12, 5)} <= want.keys() - thick
 
 
+def test_words_cut_as_bytes_are_the_same_words():
+    vocab = {w: n for n, w in enumerate(["µ", "ß", "é", "ÿ", "x_1", "½", "ω", "k", "i̇x", "ª²k"])}
+    numbers = decontam.numbered_words(vocab)
+    for text in ["µ ß É Ÿ x_1 ½", "K Ω é", "İx", "a\x85k\xa0k\x1ck", "", "ÿ×é÷ß", "ª²k k", "K\tk\x0bk"]:
+        assert numbers(text).tolist() == [vocab.get(w, -1) for w in decontam.WORD.findall(text.lower())]
+
+
 def test_decontamination_finds_every_verbatim_item(spark):
     import re
     def norm(t):
