@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from penmark.operators import batched as B
 from penmark.operators import epochs as E
+from penmark.operators import passes as P
 from penmark.plans.jobs import train_job
 from penmark.sources.artifacts import save_version
 from penmark.sources.fixtures import recipes_d, table
@@ -119,3 +120,31 @@ def test_blocks_lie_in_files_of_their_own_and_go_one_by_one(spark, monkeypatch):
     with passes.block_batches(spark):
         found = blocks.coalesce(1).mapInArrow(sizes, "n long").collect()
     assert {r["n"] for r in found} == {1}
+
+
+class WhereTrained:
+    """Kernel whose moments show in which tasks its steps were made."""
+    rate, cost = 0.1, 1.0
+
+    def start(self):
+        return np.zeros(512)
+
+    def gradient(self, p, block, rows):
+        from pyspark import TaskContext
+        g = np.zeros(512)
+        g[TaskContext.get().partitionId()] = 1.0
+        return 0.0, g
+
+
+def test_every_group_of_models_meets_every_shard_in_a_task_of_its_own(spark, monkeypatch):
+    assert P.task_groups(72, 2, 12) == 6 and P.task_groups(72, 3, 8) == 8 and P.task_groups(1, 13, 12) == 1
+    assert P.task_groups(72, 13, 12) == 4 and P.task_groups(2, 1, 8) == 2
+    rows = spark.range(900).select(F.col("id").alias("k"), F.col("id").cast("double").alias("x"))
+    monkeypatch.setattr(P, "SHARD_BYTES", 2400)
+    blocks, shards = P.packed(rows, "k", ["x"], 8)
+    assert shards == 3 and spark.sparkContext.defaultParallelism == 4
+    kernels = [WhereTrained() for _ in range(8)]
+    states = [P.fresh(k) for k in kernels]
+    P.one_pass(blocks, shards, kernels, states, 1, P.Adam(), 1)
+    tasks = [frozenset(np.flatnonzero(s.m)) for s in states]
+    assert all(len(t) == 3 for t in tasks) and len(set(tasks)) == 4 and len(frozenset().union(*tasks)) == 12
